@@ -69,7 +69,7 @@ def _split_fields(text: str, mark: str) -> list[tuple[str, str]] | None:
     return out
 
 
-def form_fields(text: str) -> list[tuple[str, str]] | None:
+def form_fields(text: str, flat: str | None = None) -> list[tuple[str, str]] | None:
     """The ``name: value`` fields of a form text, normal but not yet canonical; None if the text is prose.
 
     Fields stand one a line, between ``|`` or ``;``, or in a JSON object; the first notation that explains the whole
@@ -81,7 +81,7 @@ def form_fields(text: str) -> list[tuple[str, str]] | None:
             fields = _json_fields(attempt)
             if fields is not None:
                 return fields if len(fields) >= MIN_FIELDS else None
-    flat = normal(text)
+    flat = normal(text) if flat is None else flat
     if flat.count(":") < MIN_FIELDS:
         return None
     for mark in ("\n", "|", ";"):
@@ -107,14 +107,15 @@ class Encoder:
             got = self.memo[raw] = code(canonical(raw)).to_bytes(16, "big")
         return got
 
-    def keys(self, text: str | None) -> tuple[int | None, int | None]:
-        """Keys of the text tuple and of the field tuple; None where there is none."""
+    def keys(self, text: str | None, flat: str | None = None, letters: str | None = None) -> tuple[int | None, int | None]:
+        """Keys of the text tuple and of the field tuple; None where there is none. ``flat`` and ``letters``: the normal and canonical text, where known."""
         if not text:
             return None, None
-        letters = canonical(normal(text))
+        flat = normal(text) if flat is None else flat
+        letters = canonical(flat) if letters is None else letters
         if not letters:
             return None, None
-        fields = form_fields(text)
+        fields = form_fields(text, flat)
         if fields is None:
             return code(letters), None
         pairs = sorted(self.value(name) + self.value(value) for name, value in fields)
