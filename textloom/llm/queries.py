@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import bagminhash, fieldcodes
+from textloom.llm import bagminhash, fieldcodes, overlap
 from textloom.session import ship
 
 
@@ -22,6 +22,14 @@ def p3_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.linked(_table(spark, sf_dir, "merged_dataset"))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap.found(_table(spark, sf_dir, "merged_dataset"))
+
+
+def p4_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap.report(_table(spark, sf_dir, "merged_dataset"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fieldcodes.found(_table(spark, sf_dir, "merged_dataset"))
 
