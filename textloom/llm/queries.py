@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import bagminhash, fieldcodes, overlap
+from textloom.llm import bagminhash, fieldcodes, overlap, pii
 from textloom.session import ship
 
 
@@ -14,6 +14,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.found(_table(spark, sf_dir, "merged_dataset"))
+
+
+def p1_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.redacted(_table(spark, sf_dir, "merged_dataset"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.found(_table(spark, sf_dir, "merged_dataset"))
 
