@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import bagminhash, fieldcodes, overlap, pii
+from textloom.llm import bagminhash, fieldcodes, langid, overlap, pii
 from textloom.session import ship
 
 
@@ -22,6 +22,22 @@ def p1_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.redacted(_table(spark, sf_dir, "merged_dataset"))
 
 
+def _language_tables(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    return [_table(spark, sf_dir, t) for t in ("merged_dataset", "sources", "topic_profiles")]
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.found(*_language_tables(spark, sf_dir))
+
+
+def p2_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.labelled_segments(*_language_tables(spark, sf_dir))[0]
+
+
+def p2_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.by_record(*_language_tables(spark, sf_dir))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.found(_table(spark, sf_dir, "merged_dataset"))
 
