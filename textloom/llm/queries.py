@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import bagminhash, fieldcodes, langid, overlap, pii
+from textloom.llm import bagminhash, boilerplate, fieldcodes, langid, overlap, pii
 from textloom.session import ship
 
 
@@ -54,6 +54,14 @@ def p4_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap.report(_table(spark, sf_dir, "merged_dataset"))
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boilerplate.found(_table(spark, sf_dir, "merged_dataset"))
+
+
+def p5_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boilerplate.main_text(_table(spark, sf_dir, "merged_dataset"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fieldcodes.found(_table(spark, sf_dir, "merged_dataset"))
 
