@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import bagminhash, boilerplate, fieldcodes, langid, overlap, pii
+from textloom.llm import bagminhash, boilerplate, fieldcodes, langid, overlap, pii, readability
 from textloom.session import ship
 
 
@@ -70,6 +70,14 @@ def p6_collapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fieldcodes.collapsed(_table(spark, sf_dir, "merged_dataset"))
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readability.found(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "reading_labels"))
+
+
+def p9_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readability.grades(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "reading_labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k[:1] == "p" and k[1:2].isdigit() and callable(v)}
 
