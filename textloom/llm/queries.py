@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import bagminhash, boilerplate, fieldcodes, langid, overlap, pii, readability
+from textloom.llm import bagminhash, boilerplate, fieldcodes, langid, mixing, overlap, packing, pii, readability
 from textloom.session import ship
 
 
@@ -70,6 +70,22 @@ def p6_collapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fieldcodes.collapsed(_table(spark, sf_dir, "merged_dataset"))
 
 
+def p7_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "pack_capacities"))
+
+
+def p7_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "pack_capacities"))
+
+
+def p8_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "mix_targets"))
+
+
+def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "mix_targets"))
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readability.found(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "reading_labels"))
 
