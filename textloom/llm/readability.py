@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,51 +44,101 @@ class Lexicon:
     """Per-word numbers through a memo: length, vowel groups, hash bucket."""
 
     def __init__(self) -> None:
-        self.memo: dict[str, tuple[int, int, int]] = {}
+        self._clear()
+
+    def _clear(self) -> None:
+        self.memo: dict[str, int] = {}
+        self.rows = np.zeros((4096, 3), np.int64)
 
     def __call__(self, ws: list[str]) -> np.ndarray:
+        if len(self.memo) > 200_000:
+            self._clear()
         memo = self.memo
-        if len(memo) > 200_000:
-            memo.clear()
-        out = []
-        for w in ws:
-            got = memo.get(w)
-            if got is None:
-                got = memo[w] = (len(w), len(_VOWELS.findall(w)), xxhash.xxh3_64_intdigest(w) % BUCKETS)
-            out.append(got)
-        return np.array(out, np.int64).reshape(-1, 3)
-
-
-def base_features(text: str, flat: str, ws: list[str], t: np.ndarray, logf: np.ndarray) -> list[float]:
-    """Features that need no labels."""
-    n = len(ws)
-    size, vowels, bucket = t[:, 0], t[:, 1], t[:, 2]
-    q = np.quantile(size, (0.5, 0.75, 0.9, 0.97))
-    f = logf[bucket]
-    fq = np.quantile(f, (0.05, 0.25, 0.5))
-    u, counts = np.unique(bucket, return_counts=True)
-    ends = [len(words(x)) for x in _ENDS.split(flat)] if n < 20_000 else [n // max(1, len(_ENDS.findall(flat)))]
-    s = np.array([x for x in ends if x] or [n])
-    shared = []
-    for i in range(0, n - 2 * WINDOW + 1, WINDOW):
-        a, b = set(ws[i : i + WINDOW]), set(ws[i + WINDOW : i + 2 * WINDOW])
-        shared.append(len(a & b) / len(a | b))
-    c = np.array(shared or [0.15])
-    marks = [flat.count(x) / n for x in (",", ";", ":", "(", "?", "-")]
-    digits = sum(map(str.isdigit, (w[0] for w in ws))) / n
-    return [
-        math.log(n), size.mean(), size.std(), *(float((size >= k).mean()) for k in (7, 10, 13)), float((size <= 3).mean()), *q,
-        vowels.mean(), float((vowels >= 4).mean()), f.mean(), f.std(), *fq, len(u) / math.sqrt(n), counts.max() / n,
-        math.log(s.mean()), math.log(np.median(s)), math.log(s.max()), len(s) / n, *marks, digits, c.mean(), c.std(),
+        try:
+            return self.rows[np.fromiter(map(memo.__getitem__, ws), np.int64, len(ws))]
+        except KeyError:
+            for w in ws:
+                if w not in memo:
+                    k = len(memo)
+                    if k == len(self.rows):
+                        self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+                    self.rows[k] = len(w), len(_VOWELS.findall(w)), xxhash.xxh3_64_intdigest(w) % BUCKETS
+                    memo[w] = k
+            return self.rows[np.fromiter(map(memo.__getitem__, ws), np.int64, len(ws))]
+
+
+class Bags:
+    """The words of several texts as one array, with the start of each text; no text is empty."""
+
+    def __init__(self, tokens: list[np.ndarray]) -> None:
+        self.n = np.array([len(t) for t in tokens])
+        self.start = np.concatenate([[0], np.cumsum(self.n)[:-1]])
+        self.text = np.repeat(np.arange(len(tokens)), self.n)
+        self.all = np.concatenate(tokens)
+
+    def mean(self, x: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(x, self.start) / self.n
+
+    def ordered(self, x: np.ndarray) -> np.ndarray:
+        """Values sorted within each text; they must lie in [0, 2^20)."""
+        return np.sort((self.text << 20) | x) & ((1 << 20) - 1)
+
+    def ranks(self, ordered: np.ndarray, shares: tuple[float, ...]) -> list[np.ndarray]:
+        return [ordered[self.start + (q * (self.n - 1) + 0.5).astype(np.int64)] for q in shares]
+
+
+#: Steps of the scale on which frequencies and grades are put in order.
+STEPS = 1 << 16
+
+
+def base_features(texts: list[tuple[str, str, list[str]]], bags: Bags, logf: np.ndarray) -> np.ndarray:
+    """Features that need no labels, one row per text."""
+    size, vowels, bucket = (bags.all[:, k] for k in range(3))
+    n = bags.n
+    m = bags.mean(size)
+    f = logf[bucket].astype(float)
+    fm = bags.mean(f)
+    scaled = np.clip((f + 10.0) * (STEPS / 10.0), 0, STEPS).astype(np.int64)
+    order = bags.ordered(bucket)
+    new = np.ones(len(order), bool)
+    new[1:] = (order[1:] != order[:-1]) | (bags.text[1:] != bags.text[:-1])
+    at = np.flatnonzero(new)
+    counts = np.diff(np.append(at, len(order)))
+    distinct = np.add.reduceat(new.astype(np.int64), bags.start)
+    most = np.maximum.reduceat(counts, np.concatenate([[0], np.cumsum(distinct)[:-1]]))
+    cols = [
+        np.log(n), m, np.sqrt(np.maximum(bags.mean(size * size) - m * m, 0)), *(bags.mean((size >= k).astype(float)) for k in (7, 10, 13)), bags.mean((size <= 3).astype(float)),
+        *bags.ranks(bags.ordered(np.minimum(size, 1000)), (0.5, 0.75, 0.9, 0.97)), bags.mean(vowels), bags.mean((vowels >= 4).astype(float)),
+        fm, np.sqrt(np.maximum(bags.mean(f * f) - fm * fm, 0)), *bags.ranks(bags.ordered(scaled), (0.05, 0.25, 0.5)), distinct / np.sqrt(n), most / n,
     ]
+    own = np.array([_text_features(flat, ws) for _, flat, ws in texts])
+    return np.hstack([np.stack(cols, 1), own])
 
 
-def word_features(bucket: np.ndarray, grade: np.ndarray) -> list[float]:
-    """Distribution of the grades of a text's words."""
-    g = grade[bucket]
-    middle = 2.0
-    far = np.abs(g - middle)
-    return [g.mean(), *np.quantile(g, (0.05, 0.25, 0.5, 0.75, 0.95)), float((g > 2.4).mean()), float((g < 1.6).mean()), float((g * far).sum() / max(far.sum(), 1e-9))]
+def _text_features(flat: str, ws: list[str]) -> list[float]:
+    """Sentence lengths, marks, and words that neighbouring windows share."""
+    n = len(ws)
+    ends = sorted([x.count(" ") + 1 for x in _ENDS.split(flat) if x and not x.isspace()] or [n])
+    shared = []
+    before = None
+    for i in range(0, n - WINDOW + 1, WINDOW):
+        now = set(ws[i : i + WINDOW])
+        if before is not None:
+            both = len(before & now)
+            shared.append(both / (len(before) + len(now) - both))
+        before = now
+    k = len(shared)
+    c = sum(shared) / k if k else 0.15
+    return [math.log(sum(ends) / len(ends)), math.log(ends[len(ends) // 2]), math.log(ends[-1]), len(ends) / n, *(flat.count(x) / n for x in ",;:(?-"), c, max(shared) - min(shared) if k else 0.0]
+
+
+def word_features(bags: Bags, grade: np.ndarray) -> np.ndarray:
+    """Distribution of the grades of each text's words."""
+    g = grade[bags.all[:, 2]].astype(float)
+    far = np.abs(g - 2.0)
+    order = bags.ordered(np.clip((g - 1.0) * (STEPS / 2.0), 0, STEPS).astype(np.int64))
+    cols = [bags.mean(g), *bags.ranks(order, (0.05, 0.25, 0.5, 0.75, 0.95)), bags.mean((g > 2.4).astype(float)), bags.mean((g < 1.6).astype(float)), bags.mean(g * far) / np.maximum(bags.mean(far), 1e-9)]
+    return np.stack(cols, 1)
 
 
 class Trees:
@@ -188,11 +239,8 @@ class Grader:
     def scores(self, rows: list[tuple[str, str, list[str]]], lexicon: Lexicon) -> np.ndarray:
         if self.trees is None:
             return np.full(len(rows), 2.0)
-        x = []
-        for text, flat, ws in rows:
-            t = lexicon(ws)
-            x.append(base_features(text, flat, ws, t, self.logf) + word_features(t[:, 2], self.grade))
-        return self.trees.predict(np.array(x))
+        bags = Bags([lexicon(ws) for _, _, ws in rows])
+        return self.trees.predict(np.hstack([base_features(rows, bags, self.logf), word_features(bags, self.grade)]))
 
     def bands(self, scores: np.ndarray) -> np.ndarray:
         return 1 + (scores >= self.cuts[0]) + (scores >= self.cuts[1])
@@ -200,15 +248,19 @@ class Grader:
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(BUCKETS, np.int64)
-    lexicon = Lexicon()
+    buckets: dict[str, int] = {}
     for batch in batches:
+        counts: Counter = Counter()
         for text in batch.column(0).to_pylist():
             if text:
-                ws = words(normal(text))
-                if ws:
-                    total += np.bincount(lexicon(ws)[:, 2], minlength=BUCKETS) if len(ws) > 5000 else 0
-                    if len(ws) <= 5000:
-                        np.add.at(total, lexicon(ws)[:, 2], 1)
+                counts.update(words(normal(text)))
+        if len(buckets) > 500_000:
+            buckets.clear()
+        for w, n in counts.items():
+            b = buckets.get(w)
+            if b is None:
+                b = buckets[w] = xxhash.xxh3_64_intdigest(w) % BUCKETS
+            total[b] += n
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["bucket", "n"])
 
@@ -226,17 +278,15 @@ def _label_features(logf: np.ndarray):
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon()
         for batch in batches:
-            ids, src, y, x, b = [], [], [], [], []
+            ids, src, y, rows = [], [], [], []
             for doc, source, grade, text in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 flat = normal(text or "")
                 ws = words(flat)
-                if len(ws) < MIN_WORDS:
-                    continue
-                t = lexicon(ws)
-                ids.append(doc), src.append(source), y.append(grade)
-                x.append(base_features(text, flat, ws, t, logf))
-                b.append(np.unique(t[:, 2]).tolist() if len(ws) < 2 else t[:, 2].tolist())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(src, pa.string()), pa.array(y, pa.float64()), pa.array(x, pa.list_(pa.float64())), pa.array(b, pa.list_(pa.int64()))], names=["doc_id", "source", "y", "x", "b"])
+                if len(ws) >= MIN_WORDS:
+                    ids.append(doc), src.append(source), y.append(grade), rows.append((text, flat, ws))
+            tokens = [lexicon(ws) for _, _, ws in rows]
+            x = base_features(rows, Bags(tokens), logf).tolist() if rows else []
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(src, pa.string()), pa.array(y, pa.float64()), pa.array(x, pa.list_(pa.float64())), pa.array([t[:, 2].astype(np.int32) for t in tokens], pa.list_(pa.int32()))], names=["doc_id", "source", "y", "x", "b"])
 
     return go
 
@@ -248,7 +298,7 @@ def train(documents: DataFrame, labels: DataFrame) -> Grader:
     if total > TRAIN:
         per_doc = per_doc.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(TRAIN / total * (1 << 30)))
     joined = documents.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), "text").join(per_doc, "doc_id").select("doc_id", "source", "y", "text")
-    got = joined.mapInArrow(_label_features(logf), "doc_id bigint, source string, y double, x array<double>, b array<bigint>").toPandas().sort_values("doc_id")
+    got = joined.mapInArrow(_label_features(logf), "doc_id bigint, source string, y double, x array<double>, b array<int>").toPandas().sort_values("doc_id")
     if len(got) < 4 * LEAF:
         return Grader(logf, grades_of_words([], np.empty(0)), None, (1.5, 2.5), {"documents": len(got)})
     y = got["y"].to_numpy(float)
@@ -262,7 +312,7 @@ def train(documents: DataFrame, labels: DataFrame) -> Grader:
 
     def features(train_at: np.ndarray, apply_at: np.ndarray) -> np.ndarray:
         grade = grades_of_words([sets[i] for i in train_at], y[train_at])
-        return np.array([word_features(bags[i], grade) for i in apply_at]).reshape(len(apply_at), -1)
+        return word_features(Bags([np.repeat(bags[i][:, None], 3, 1) for i in apply_at]), grade)
 
     def own_features(at: np.ndarray) -> np.ndarray:
         """Word grades of training documents, each from the others' labels."""
