@@ -279,7 +279,7 @@ def stable_keys(spark, d):
 
 
 @query(
-    "select row_id, case when metadata is null or trim(metadata) = '' then '{}' when json_valid(metadata) then metadata else to_json({'raw': metadata}) end as metadata from merged_dataset"
+    "select row_id, case when metadata is null or trim(metadata) = '' then '{}' when json_valid(metadata) then metadata else to_json({'raw': metadata})::varchar end as metadata from merged_dataset"
 )
 def metadata_objects(spark, d):
     return _t(spark, d, "merged_dataset").select("row_id", schema.metadata_json("metadata").alias("metadata"))
