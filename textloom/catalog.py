@@ -328,8 +328,8 @@ def executable_sources(spark, d):
 def _candidates(spark, d) -> DataFrame:
     s, p = _t(spark, d, "sources"), _t(spark, d, "topic_profiles").select("profile_id", "topic", "task_type")
     j = s.join(p, "profile_id")
-    overlap = discovery.topic_overlap(F.col("topic"), F.concat_ws(" ", "name", F.regexp_replace("name", r"[/._-]", " ")))
-    rel = discovery.relevance({"topic": overlap, "trust": 1.0 / discovery.type_rank("type"), "task": F.col("task_type").isNotNull().cast("double")})
+    rich = discovery.richness(F.col("allowed_domains"), F.col("dataset_id").isNotNull())
+    rel = discovery.relevance({"topic": discovery.topic_match(F.col("topic"), F.col("name")), "trust": 1.0 / discovery.type_rank("type"), "richness": rich, "task": F.col("task_type").isNotNull().cast("double")})
     return j.select(F.col("id").alias("candidate_id"), "type", "name", F.coalesce("url", "endpoint", "repo_url").alias("url"), rel.alias("relevance"))
 
 

@@ -10,9 +10,9 @@ from textloom.functions import urls
 # Order of source types, weights of file types, good and bad parts of paths.
 TYPE_ORDER = ("hf_dataset", "kaggle", "github_dataset", "http_file", "api", "scrape", "repository")
 EXTENSIONS = {".parquet": 18, ".csv": 15, ".jsonl": 14, ".ndjson": 14, ".tsv": 12, ".xlsx": 10, ".xls": 8, ".json": 6, ".zip": 5}
-DATA_SEGMENTS = ("data", "dataset", "datasets", "raw", "train", "test")
-NOISE = ("license", "readme", "requirements", "setup.py", ".github", "schema", "metadata")
-FEATURES = {"topic": 0.35, "trust": 0.20, "modality": 0.15, "task": 0.15, "language": 0.10, "tags": 0.05}
+DATA_SEGMENTS = ("data", "dataset", "datasets", "raw", "processed", "train", "test", "sample")
+NOISE = ("readme", "license", "copying", "requirements", "setup.py", ".ipynb", "docs/", "doc/", "examples/", "example/", "notebooks/", "benchmark/", "/.github/", "__pycache__")
+FEATURES = {"topic": 0.5, "trust": 0.2, "richness": 0.1, "modality": 0.1, "task": 0.05, "language": 0.05}
 
 
 def type_rank(c: Column | str) -> Column:
@@ -37,6 +37,17 @@ def topic_overlap(topic: Column, title: Column) -> Column:
     return F.coalesce(F.try_divide(F.size(F.array_intersect(a, keywords(title))), F.size(a)), F.lit(0.0))
 
 
+def topic_match(topic: Column, title: Column) -> Column:
+    """1 if any word of the topic occurs in the title, else 0."""
+    words = F.filter(F.split(F.lower(F.coalesce(topic, F.lit(""))), r"\s+"), lambda w: w != "")
+    return F.exists(words, lambda w: F.contains(F.lower(F.coalesce(title, F.lit(""))), w)).cast("double")
+
+
+def richness(tags: Column, described: Column) -> Column:
+    """Tags and a description, six of them being full marks."""
+    return F.least(F.lit(1.0), (F.greatest(F.size(tags), F.lit(0)) + described.cast("int")) / 6.0)
+
+
 def dedupe(df: DataFrame) -> DataFrame:
     """The most relevant candidate per canonical URL, then per type and name."""
     best = lambda d, keys: d.groupBy(*keys).agg(F.max_by(F.struct(*d.columns), F.struct("relevance", "candidate_id")).alias("__b")).select("__b.*")

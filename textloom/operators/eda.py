@@ -8,7 +8,12 @@ from pyspark.sql import functions as F
 from textloom.functions import text as T
 
 # English stop words left out of token counts.
-STOPWORDS = ("the", "and", "for", "are", "but", "not", "you", "all", "can", "her", "was", "one", "our", "out", "with", "that", "this", "have", "from", "they", "will", "would", "there", "their", "what", "when", "which", "your", "has", "had", "were", "been", "than", "then", "them", "into", "also", "just", "about")
+STOPWORDS = tuple(
+    (
+        "the a an and or to of in is for on with as at by from that this it be are was were not no yes "
+        "if we you he she they i my our their one two all can has have had will would could should"
+    ).split()
+)
 
 
 def source_counts(df: DataFrame, by: str = "source") -> DataFrame:

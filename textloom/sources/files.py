@@ -13,8 +13,12 @@ from pyspark.sql import functions as F
 # Suffixes, MIME types, and the words that tell data files from others.
 SUFFIXES = {".csv": "csv", ".tsv": "tsv", ".json": "json", ".jsonl": "jsonl", ".ndjson": "jsonl", ".parquet": "parquet", ".xls": "excel", ".xlsx": "excel"}
 MIME = {"text/csv": "csv", "application/json": "json", "application/x-ndjson": "jsonl", "application/jsonl": "jsonl", "text/tab-separated-values": "tsv", "application/vnd.apache.parquet": "parquet"}
-GOOD = ("data", "dataset", "datasets", "train", "test", "sample")
-BAD = ("license", "readme", "schema", "metadata", "requirements", "__macosx")
+FOLDERS = ("data", "dataset", "datasets", "raw", "processed")
+SPLITS = ("train", "test", "sample")
+NAMES = ("data", "dataset", "records", "matches", "samples", "train", "test")
+BAD = ("readme", "license", "copying", "schema", "dictionary", "metadata", "changelog", "contributing", "notice", "sample_submission")
+WEIGHTS = {".parquet": 16, ".csv": 14, ".jsonl": 13, ".tsv": 10, ".xlsx": 9, ".xls": 7, ".json": 5}
+TINY, SMALL = 384, 2048
 
 
 def detect_format(path: str, explicit: str | None = None, disposition: str | None = None, content_type: str | None = None) -> str | None:
@@ -39,11 +43,11 @@ def looks_like_html(head: bytes) -> bool:
 def score(path: Path, root: Path | None = None) -> tuple[int, int, int, int]:
     """Rank of a file as the main table: folder and name words, type, size; noise words and tiny files count against."""
     text = (path.relative_to(root) if root else path).as_posix().lower()
-    weight = {".parquet": 16, ".csv": 14, ".jsonl": 13, ".tsv": 10, ".xlsx": 9, ".xls": 7, ".json": 5}
+    name = path.name.lower()
     size = path.stat().st_size if path.exists() else 0
-    s = sum(22 for g in GOOD[:3] if f"/{g}/" in f"/{text}") + sum(10 for g in GOOD[3:] if g in text) + weight.get(path.suffix.lower(), 0)
+    s = 22 * sum(f"/{g}/" in f"/{text}" for g in FOLDERS) + 10 * sum(g in text for g in SPLITS) + 6 * sum(g in name for g in NAMES) + WEIGHTS.get(path.suffix.lower(), 0)
     s -= 120 * sum(b in text for b in BAD)
-    s -= 90 if size < 128 else 25 if size < 2048 else 0
+    s -= 90 if size < TINY else 25 if size < SMALL else 0
     return s + min(size // 512, 4000), size, -len(path.parts), -len(path.name)
 
 
