@@ -113,3 +113,17 @@ def test_rolling_hashes_follow_the_words():
     a = overlap.rolling(np.concatenate([h[30:40], h]), [18])[0]
     assert (a[10:] == overlap.rolling(h, [18])[0]).all()
     assert len(overlap.rolling(h[:5], [18])[0]) == 0
+
+
+def test_edited_copies_in_a_hot_group_overlap(spark):
+    rng = random.Random(5)
+    vocab = [f"w{i}" for i in range(3000)]
+    base = [rng.choice(vocab) for _ in range(100)]
+    texts = []
+    for _ in range(120):
+        ws = list(base)
+        for at in (rng.randrange(0, 20), rng.randrange(75, 100)):
+            ws[at] = f"new{rng.randrange(10**9)}"
+        texts.append(" ".join(ws))
+    rows = [(i, t, "test" if i < 60 else "train", "a") for i, t in enumerate(texts)]
+    assert len({tuple(r) for r in overlap.found(frame(spark, rows)).collect()}) == 3600
