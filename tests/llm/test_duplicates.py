@@ -127,3 +127,15 @@ def test_edited_copies_in_a_hot_group_overlap(spark):
         texts.append(" ".join(ws))
     rows = [(i, t, "test" if i < 60 else "train", "a") for i, t in enumerate(texts)]
     assert len({tuple(r) for r in overlap.found(frame(spark, rows)).collect()}) == 3600
+
+
+@pytest.mark.parametrize("every", [9, 10, 12, 15])
+def test_evenly_edited_copies_overlap(spark, every):
+    rng = random.Random(every)
+    rows = []
+    for k in range(20):
+        base = [f"w{rng.randrange(3000)}" for _ in range(rng.randrange(100, 220))]
+        new = [f"new{rng.randrange(10**9)}" if i % every == every - 1 else w for i, w in enumerate(base)]
+        assert bm.jaccard(bm.word_runs(base, 3), bm.word_runs(new, 3)) >= 0.5
+        rows += [(2 * k, " ".join(base), "train", "a"), (2 * k + 1, " ".join(new), "test", "a")]
+    assert {tuple(r) for r in overlap.found(frame(spark, rows)).collect()} == {(2 * k, 2 * k + 1) for k in range(20)}
