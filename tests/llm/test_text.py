@@ -74,3 +74,11 @@ def test_furniture(spark):
     main = {r["row_id"]: r["text"] for r in bp.main_text(merged(spark, rows)).collect()}
     assert main[7].startswith("Title of") and "Most read" not in main[7] and main[100] is None
     assert bp.found(merged(spark, [])).count() == 0
+
+
+def test_streets_known_by_context_alone():
+    from textloom.llm import pii
+
+    for ctx, text in (("| address", "Address Plaxa Quxhof 12"), ("living at the", "she was living at the Plaxa Quxhof 12 then")):
+        model = pii.Model({k: {ctx: 0.9} if k == "address" else {} for k in pii.TYPES}, {k: {} for k in pii.TYPES}, set())
+        assert [x[2] for x in pii.find(text, model)] == ["address"]

@@ -163,22 +163,19 @@ def spelled(s: str) -> Iterator[tuple[int, int]]:
         yield run[0].start(), run[-1].end()
 
 
-_HOUSE_AT = re.compile(r"(?<![\w:/.,+(\-])\d{1,4}[a-f]?(?![\w:/%])(?![.,]\d)")
-
-
-def maybe_street(s: str, kinds: dict[str, float], ctx: dict[str, float]) -> bool:
-    """Whether a number of s has a word of a known kind near it, or an address context before it."""
-    for m in _HOUSE_AT.finditer(s):
-        a, b = m.span()
-        left = _WORD.findall(s[max(0, a - 60) : a])[-6:]
-        for w in left[-5:]:
-            if w in kinds or w in SEED_STREETS or SUFFIX.match(w):
-                return True
-        for w in _WORD.findall(s[b : b + 45])[:3]:
-            if w in kinds or w in SEED_STREETS:
+def maybe_street(t: Tokens, kinds: dict[str, float], ctx: dict[str, float]) -> bool:
+    """Whether a number has a word of a known kind or a place after an address context near it; true wherever ``find`` may accept one."""
+    words = t.words
+    for i, w in enumerate(words):
+        if not w[0].isdigit() or not HOUSE.match(w):
+            continue
+        if i and SUFFIX.match(words[i - 1]):
+            return True
+        for x in (*words[max(0, i - 5) : i], *words[i + 1 : i + 4]):
+            if x in kinds or x in SEED_STREETS or x in ("gasse", "allee"):
                 return True
-        for i in range(len(left) - 1):
-            if f"{left[i]} {left[i + 1]}" in ctx or f"0 {left[i + 1]}" in ctx:
+        for k in range(max(0, i - 5), i + 1):
+            if any(" " in c and c in ctx for c in t.contexts(k)):
                 return True
     return False
 
@@ -409,7 +406,7 @@ def find(text: str, model: Model) -> list[tuple[int, int, str]]:
         if best:
             out.append((a, b, best))
     spans: list[tuple[bool, int, int]] = []
-    for i, a, b, kind in streets(t) if maybe_street(s, model.inst["address"], model.ctx["address"]) else ():
+    for i, a, b, kind in streets(t) if maybe_street(t, model.inst["address"], model.ctx["address"]) else ():
         sure = kind in SEED_STREETS or kind in ("gasse", "allee")
         known = sure or (kind not in model.common and model.inst["address"].get(kind, 0) >= TRUST)
         by = any(len(c.split()) > 1 and c in model.ctx["address"] for c in t.contexts(i))
