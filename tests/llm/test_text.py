@@ -82,3 +82,13 @@ def test_streets_known_by_context_alone():
     for ctx, text in (("| address", "Address Plaxa Quxhof 12"), ("living at the", "she was living at the Plaxa Quxhof 12 then")):
         model = pii.Model({k: {ctx: 0.9} if k == "address" else {} for k in pii.TYPES}, {k: {} for k in pii.TYPES}, set())
         assert [x[2] for x in pii.find(text, model)] == ["address"]
+
+
+def test_the_model_keeps_all_contexts_and_instances(spark, monkeypatch):
+    from textloom.llm import pii
+
+    monkeypatch.setattr(pii, "MODEL", 1, raising=False)
+    rows = [(f"My {w} is +49 30 {1000000 + 7 * i}{k}.",) for i, w in enumerate(("mobile", "phone", "telephone")) for k in range(4)]
+    rows += [(f"My {w} is 0049-{i}{k}-12345{k}{k}.",) for i, w in enumerate(("mobile", "phone", "telephone")) for k in range(4)]
+    model = pii.fit(spark.createDataFrame(rows, "text string"), body=None)
+    assert len(model.ctx["phone"]) > 1 and len(model.inst["phone"]) > 1

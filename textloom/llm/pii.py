@@ -60,8 +60,8 @@ _WORD = re.compile(r"[^\W_]+")
 _TOKEN = re.compile(r"[^\W_]+|[.!?;]")
 _CAPS = regex.compile(r"(?<![\p{L}'’])(\p{Lu}\p{Ll}+\.?|\p{Lu}\.)(?: \p{Lu}\.)? (\p{Lu}\p{Ll}{2,}(?:-\p{Lu}\p{Ll}+)?)")
 
-#: Confidence from which a context or instance counts; least distinct instances of a context; most entries of a model.
-TRUST, SUPPORT, MODEL = 0.5, 2, 20_000
+#: Confidence from which a context or instance counts; least distinct instances of a context.
+TRUST, SUPPORT = 0.5, 2
 #: Rounds of the iteration, and the confidence from which a context passes trust on within it.
 ROUNDS, PASS_ON = 5, 0.15
 #: Words in at least this share of the texts can't be part of a name by context alone.
@@ -328,8 +328,8 @@ def fit(df: DataFrame, text: str = "text", body: str | None = "body") -> Model:
     raw = spread(df.select(*cols)).mapInArrow(_edges, "kind string, ctx string, inst string, n bigint, np bigint, ni bigint")
     edges = stage(raw.groupBy("kind", "ctx", "inst").agg(F.sum("n").alias("n"), F.sum("np").alias("np"), F.sum("ni").alias("ni")), "edges")
     ctx, insts = score(edges.where("kind <> 'w'"))
-    best_ctx = ctx.where((F.col("conf") >= TRUST) & (F.col("support") >= SUPPORT)).orderBy(F.desc("n"), "type", "ctx").limit(MODEL).collect()
-    best_inst = insts.where((F.col("score") >= TRUST) & (F.col("total") >= 2)).orderBy(F.desc("total"), "type", "inst").limit(MODEL).collect()
+    best_ctx = ctx.where((F.col("conf") >= TRUST) & (F.col("support") >= SUPPORT)).select("type", "ctx", "conf").collect()
+    best_inst = insts.where((F.col("score") >= TRUST) & (F.col("total") >= 2)).select("type", "inst", "score").collect()
     total = df.select(F.count(text) + (F.count(body) if body else F.lit(0))).first()[0]
     given = {r["inst"] for r in best_inst if r["type"] == "name"}
     # at most (mean words of a text / COMMON) words reach that share
