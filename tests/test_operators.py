@@ -192,3 +192,12 @@ def test_runs_resume(tmp_path):
     assert pipeline.run(runs, state, steps).status == "awaiting_review"
     state = pipeline.approve(runs, runs.latest(), "quality")
     assert pipeline.run(runs, state, steps).status == "completed" and calls == ["c", "q"]
+
+
+def test_the_baseline_query_runs_the_full_operator():
+    import inspect
+
+    from textloom import catalog
+
+    source = inspect.getsource(catalog.train_baseline)
+    assert "features=20_000" in source and "iterations=2000" in source

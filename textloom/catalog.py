@@ -544,5 +544,5 @@ def al_query_entropy(spark, d):
 def train_baseline(spark, d):
     df = _t(spark, d, "merged_dataset").where(~T.missing("text") & ~T.missing("label")).select("row_id", "text", F.regexp_replace(F.lower(F.trim("label")), "[ -]", "_").alias("label"))
     parts = active.stratified_split(df, "label")
-    model = active.Classifier(features=2000, iterations=10).fit(parts.where("part = 'train'"))
+    model = active.Classifier(features=20_000, iterations=2000).fit(parts.where("part = 'train'"))
     return active.metrics(model.predict(parts.where("part = 'test'")).select("label", F.col("model_pred").alias("pred")))
