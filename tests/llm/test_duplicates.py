@@ -5,6 +5,7 @@ import pytest
 
 from textloom.llm import bagminhash as bm
 from textloom.llm import overlap
+from textloom.llm.components import components
 from textloom.llm.normal import normal, words
 
 
@@ -108,25 +109,89 @@ def test_empty_tables(spark):
     assert overlap.found(frame(spark, [])).count() == 0
 
 
-def test_rolling_hashes_follow_the_words():
-    h = np.arange(1, 60, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    a = overlap.rolling(np.concatenate([h[30:40], h]), [18])[0]
-    assert (a[10:] == overlap.rolling(h, [18])[0]).all()
-    assert len(overlap.rolling(h[:5], [18])[0]) == 0
+def variants(n, seed=5, words=90, at=(15, 45, 75)):
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(3000)}" for _ in range(words)]
+    out = []
+    for _ in range(n):
+        ws = list(base)
+        for k in at:
+            ws[k + rng.randrange(3) - 1] = f"new{rng.randrange(10**9)}"
+        out.append(" ".join(ws))
+    return out
 
 
-def test_edited_copies_in_a_hot_group_overlap(spark):
-    rng = random.Random(5)
-    vocab = [f"w{i}" for i in range(3000)]
-    base = [rng.choice(vocab) for _ in range(100)]
-    texts = []
-    for _ in range(120):
-        ws = list(base)
-        for at in (rng.randrange(0, 20), rng.randrange(75, 100)):
-            ws[at] = f"new{rng.randrange(10**9)}"
-        texts.append(" ".join(ws))
-    rows = [(i, t, "test" if i < 60 else "train", "a") for i, t in enumerate(texts)]
-    assert len({tuple(r) for r in overlap.found(frame(spark, rows)).collect()}) == 3600
+@pytest.mark.parametrize("n", [60, 200])
+def test_edited_copies_in_a_hot_group_overlap(spark, n):
+    rows = [(i, t, "test" if i % 2 else "train", "a") for i, t in enumerate(variants(2 * n))]
+    assert len({tuple(r) for r in overlap.found(frame(spark, rows)).collect()}) == n * n
+    (line,) = overlap.report(frame(spark, rows)).collect()
+    assert (line["records"], line["overlapping"], line["near"], line["same"]) == (n, n, n, 0)
+
+
+def test_report_agrees_with_pairs(spark, corpus):
+    over = overlap.Overlaps(frame(spark, corpus))
+    best = {}
+    for r in over.class_pairs().collect():
+        c, s = best.get(r["e_class"], (0.0, False))
+        best[r["e_class"]] = (max(c, r["coverage"]), s or r["same"])
+    assert {r["k"]: (r["coverage"], r["same"]) for r in over.best().collect()} == best
+
+
+def test_automaton_finds_records_that_routing_did_not_name():
+    shard = overlap._Shard()
+    hashes = bm.WordHashes()
+    ws = [f"w{i}" for i in range(100)]
+    shard.add(1, " ".join(ws), hashes)
+    shard.add(2, " ".join(ws[:50] + [f"x{i}" for i in range(50)]), hashes)
+    shard.add(3, "short text", hashes)
+    shard.freeze()
+    got = {(shard.names[r], round(c, 2), s) for r, c, s in shard.overlaps(9, " ".join(ws[:94] + ["y"] * 6), hashes, False)}
+    assert got == {(1, 0.94, False)} or got == {(1, 0.9, False)}
+    assert [(shard.names[r], c, s) for r, c, s in shard.overlaps(3, "SHORT, text", hashes, False)] == [(3, 1.0, True)]
+
+
+def test_hot_families_are_one_class_by_few_links(spark):
+    texts = variants(300)
+    other = variants(3, seed=6)
+    far = " ".join(texts[0].split()[:60] + [f"z{i}" for i in range(30)])
+    rows = [(i, t, "train", "a") for i, t in enumerate([*texts, *other, far])]
+    near = bm.NearDuplicates(frame(spark, rows))
+    assert near.links().count() < 300 * 40
+    classes = {r["row_id"]: r["class_id"] for r in bm.linked(frame(spark, rows)).collect()}
+    assert {classes[i] for i in range(300)} == {0} and {classes[i] for i in range(300, 303)} == {300}
+    pairs = [tuple(r) for r in bm.found(frame(spark, rows)).collect()]
+    assert all(classes[a] == classes[b] for a, b in pairs)
+
+
+def test_repeated_runs_hide_no_pair(spark):
+    (a,) = variants(1)
+    sentence = "and this sentence comes again and again until the page is full of it"
+    rows = [(1, f"{a} {sentence}", "train", "a"), (2, f"{a} " + " ".join([sentence] * 60), "test", "a")]
+    assert [tuple(r) for r in bm.found(frame(spark, rows)).collect()] == [(1, 2)]
+    assert [tuple(r) for r in overlap.found(frame(spark, rows)).collect()] == [(1, 2)]
+    strict = bm.NearDuplicates(frame(spark, rows), multiset=True)
+    assert strict.pairs().count() == 0
+
+
+def test_plain_and_weighted_signatures_are_those_drawn_apart():
+    rng = np.random.default_rng(4)
+    bags = []
+    for k in range(60):
+        el = np.unique(rng.integers(0, 2**63, rng.integers(1, 250), dtype=np.int64).astype(np.uint64))
+        counts = np.ones(len(el), int)
+        counts[: k % 4] = 1 + k % 3
+        bags.append((el, counts * (50 if k % 20 == 0 else 1)))
+    plain, weighted = bm.plain_and_weighted(bags, 64)
+    assert (weighted == bm.signatures(bags, 64)).all()
+    assert (plain == bm.signatures([(el, np.ones(len(el), int)) for el, _ in bags], 64)).all()
+
+
+def test_components_of_chains_stars_and_repeats(spark):
+    links = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 140)] + [(7, 7), (201, 200), (200, 201)]
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    assert got == {**{k: 0 for k in range(41)}, **{k: 100 for k in range(100, 140)}, 200: 200, 201: 200}
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
 @pytest.mark.parametrize("every", [9, 10, 12, 15])
