@@ -8,7 +8,8 @@ The rendered lines form blocks. What a site puts around its posts repeats from p
 without case, accents, list marks, numbers and host names, and the share of a site's pages that carry a key tells
 furniture from post. Lines of several cells (menus, counters, breadcrumbs) also count by their cells, lines about author
 and time by their ends. Furniture lines that head runs of short lines on most pages (links to other threads) take
-those runs with them. Forms, quotations and a page's own title are never furniture.
+those runs with them. Forms, quotations and a page's own title are never furniture. Where a page has markup, lines of its
+framing elements (navigation, asides, footers) are furniture by themselves, and lines count as rendered.
 
 Null and empty texts have no lines; very long pages are read whole; pages may repeat; an empty table gives no rows.
 """
@@ -18,7 +19,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html import unescape
 from html.parser import HTMLParser
 
@@ -35,6 +36,11 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 HIDDEN = frozenset("script style noscript template head title svg canvas iframe object select option datalist dialog".split())
 BLOCK = frozenset("address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre article section figure".split())
+FRAMES = frozenset("nav aside footer".split())
+FRAME_ROLES = frozenset("navigation banner contentinfo complementary search".split())
+_FRAME_NAME = re.compile(r"(?<![a-z])(?:cookie|consent|breadcrumb|sidebar|navbar|menu|footer|share|related)s?(?![a-z])", re.I)
+#: Open elements of a page.
+DEEPEST = 150
 #: Start tags that end an open element of the given kinds, up to the nearest of the barriers.
 IMPLIED_END = {
     "li": ({"li"}, {"ul", "ol"}),
@@ -61,6 +67,12 @@ class Node:
         return self.tag in HIDDEN or "hidden" in a or a.get("aria-hidden") == "true" or bool(_HIDE_STYLE.search(a.get("style") or "")) or (self.tag == "input" and a.get("type") == "hidden")
 
 
+    def frames(self) -> bool:
+        """Whether the element holds what a site puts around its content."""
+        names = f"{self.attrs.get('class') or ''} {self.attrs.get('id') or ''}"
+        return self.tag in FRAMES or (self.attrs.get("role") or "") in FRAME_ROLES or bool(_FRAME_NAME.search(names))
+
+
 class _Builder(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -75,7 +87,8 @@ class _Builder(HTMLParser):
             self._close({"p"}, BLOCK - {"p"})
         node = Node(tag, dict(attrs))
         self.open[-1].children.append(node)
-        if tag not in VOID:
+        # deeper elements join the deepest that is kept open
+        if tag not in VOID and len(self.open) < DEEPEST:
             self.open.append(node)
 
     def _close(self, ends, walls):
@@ -111,20 +124,26 @@ def parse(html: str) -> Node:
     return b.root
 
 
+class Around(str):
+    """A line of an element that frames the content."""
+
+
 class _Renderer:
-    def __init__(self) -> None:
+    def __init__(self, around: bool = False) -> None:
         self.lines: list[str] = []
         self.now = ""
+        self.around = around
 
     def flush(self, gap: bool = False) -> None:
         if self.now.strip():
-            self.lines.append(self.now.rstrip())
+            self.lines.append(Around(self.now.rstrip()) if self.around else self.now.rstrip())
         self.now = ""
         if gap and self.lines and self.lines[-1]:
             self.lines.append("")
 
     def node(self, n: Node, pre: bool = False, depth: int = 0) -> None:
-        for i, c in enumerate(n.children):
+        item = 0
+        for c in n.children:
             if isinstance(c, str):
                 if pre:
                     parts = c.split("\n")
@@ -142,13 +161,19 @@ class _Renderer:
                 self.flush()
             elif c.tag == "table":
                 self.flush(True)
-                self.lines += table(c)
+                self.lines += map(Around, table(c)) if self.around else table(c)
                 self.flush(True)
+            elif c.frames() and not self.around:
+                self.flush(True)
+                self.around = True
+                self.node(c, pre, depth)
+                self.flush(True)
+                self.around = False
             elif c.tag in BLOCK:
                 self.flush(c.tag in SPACED)
                 if c.tag == "li":
-                    items = [x for x in n.children if isinstance(x, Node) and x.tag == "li"]
-                    self.now = "  " * max(depth - 1, 0) + (f"{items.index(c) + 1}. " if n.tag == "ol" else "* ")
+                    item += 1
+                    self.now = "  " * max(depth - 1, 0) + (f"{item}. " if n.tag == "ol" else "* ")
                 elif c.tag == "blockquote":
                     inner = _Renderer()
                     inner.node(c, pre, depth)
@@ -194,20 +219,27 @@ def table(t: Node) -> list[str]:
     return ["  ".join(x.ljust(width[i]) for i, x in enumerate(r)).rstrip() for r in rows if any(r)]
 
 
-def render(html: str) -> str:
-    """All visible text of a page, with block spacing, list marks, quotations and aligned tables."""
+def rendered(html: str) -> list[str]:
+    """The lines of all visible text of a page, those of framing elements as ``Around``."""
     r = _Renderer()
     r.node(parse(html))
     r.flush()
     while r.lines and not r.lines[-1]:
         r.lines.pop()
-    return "\n".join(r.lines)
+    return r.lines
+
+
+def render(html: str) -> str:
+    """All visible text of a page, with block spacing, list marks, quotations and aligned tables."""
+    return "\n".join(rendered(html))
 
 
 def lines_of(text: str) -> list[str]:
     """The rendered lines of a page; text without tags is already rendered."""
     if "<" in text and len(_TAG.findall(text)) >= 2:
-        text = render(unescape(text) if text.lstrip().startswith("&lt;") else text)
+        return rendered(text)
+    if text.lstrip().startswith("&lt;") and len(_TAG.findall(unescape(text))) >= 2:
+        return rendered(unescape(text))
     return text.split("\n")
 
 
@@ -217,8 +249,8 @@ OF_SITE, OF_ALL, LEAST = 0.025, 0.0008, 4
 LONGEST, TITLE = 24, 14
 #: Mean run of short lines that makes a furniture line the head of links.
 HEAD = 1.5
-#: Keys that may be sent to all workers; beyond, pages meet their site's keys in a shuffle.
-SENT = 500_000
+#: Keys (about 60 bytes each) that may be sent to all workers; beyond, pages meet the keys of their lines in a shuffle.
+SENT = 100_000
 _HOST = re.compile(r"(?<![\w@])[a-z0-9][\w\-]*(?:\.[\w\-]+)*\.[a-z]{2,}(?![\w@])")
 _WORD = re.compile(r"[^\W\d_]+|\d+")
 _CELL = re.compile(r"\s*[|·»›>*•]\s*|\s+/\s+|\s{2,}|\s+-\s+")
@@ -240,10 +272,10 @@ def _hash(key: str) -> int:
 class Line:
     """What the marking of a line needs."""
 
-    __slots__ = ("no", "blank", "long", "short", "quote", "keys", "cells", "text", "host")
+    __slots__ = ("no", "blank", "long", "short", "quote", "keys", "cells", "text", "host", "around")
 
     def __init__(self, no: int, raw: str, own: frozenset) -> None:
-        self.no, self.text = no, raw
+        self.no, self.text, self.around = no, raw, isinstance(raw, Around)
         self.keys: list[int] = []
         self.cells: list[int] = []
         self.host = False
@@ -338,6 +370,9 @@ def mark(lines: list[Line], known: dict[int, float], title: str | None, own: fro
     head = [False] * len(lines)
     titled = False
     for i, line in enumerate(lines):
+        if line.around and not line.blank:
+            flagged[i] = True
+            continue
         if line.blank or line.long or line.quote:
             continue
         if want is not None and not titled and line.keys and line.keys[0] == want:
@@ -364,25 +399,31 @@ def mark(lines: list[Line], known: dict[int, float], title: str | None, own: fro
     return [x.no for f, x in zip(flagged, lines) if f]
 
 
-def _shared(model: dict):
+Known = Callable[[str], dict[int, float]]
+
+
+def _shared(model: dict) -> Known:
     def known(site: str) -> dict[int, float]:
         return model[site] if site in model else model[None]
 
     return known
 
 
-def _marks(batch: pa.RecordBatch, known) -> list[tuple[int, list[int], list[Line] | None, str | None]]:
-    out = []
-    for row, site, title, text in zip(*(batch.column(k).to_pylist() for k in range(4))):
+def _own(site: str) -> frozenset:
+    return frozenset(re.findall(r"[^\W\d_]{3,}", site)) if "." in site else frozenset()
+
+
+def _marks(batch: pa.RecordBatch, known: Known | None) -> Iterator[tuple[int, list[int], list[Line] | None, str | None]]:
+    """Marked lines of each page; with no ``known``, columns 4 and 5 name the page's own furniture keys and mean runs."""
+    for row, site, title, text, *keys in zip(*(batch.column(k).to_pylist() for k in range(batch.num_columns))):
         lines = page(text, site) if text else None
-        own = frozenset(re.findall(r"[^\W\d_]{3,}", site)) if "." in site else frozenset()
-        out.append((row, mark(lines, known(site), title, own) if lines else [], lines, text))
-    return out
+        its = known(site) if known else dict(zip(keys[0] or [], keys[1] or []))
+        yield row, mark(lines, its, title, _own(site)) if lines else [], lines, text
 
 
-def _found(model: dict):
+def _found(model: dict | None):
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _shared(model)
+        known = None if model is None else _shared(model)
         for batch in batches:
             rows = [(r, n) for r, nos, _, _ in _marks(batch, known) for n in nos]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32())], names=["row_id", "line_no"])
@@ -390,9 +431,9 @@ def _found(model: dict):
     return go
 
 
-def _kept(model: dict):
+def _kept(model: dict | None):
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _shared(model)
+        known = None if model is None else _shared(model)
         for batch in batches:
             ids, texts, gone = [], [], []
             for row, nos, lines, text in _marks(batch, known):
@@ -405,19 +446,28 @@ def _kept(model: dict):
     return go
 
 
+def _page_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out: list[list] = [[], [], []]
+        for row, site, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            for key in {k for line in (page(text, site) if text else None) or [] for k in (*line.keys, *line.cells)}:
+                for col, v in zip(out, (row, site, key)):
+                    col.append(v)
+        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.int64())], names=["row_id", "site", "key"])
+
+
 def _apply(df: DataFrame, work, schema: str) -> DataFrame:
     model = furniture(df)
-    pages = df.select(F.col("row_id").cast("bigint").alias("row_id"), _site().alias("site"), "title", "text")
+    pages = spread(df.select(F.col("row_id").cast("bigint").alias("row_id"), _site().alias("site"), "title", "text"))
     if model.count() <= SENT:
-        return spread(pages).mapInArrow(work(_model(model)), schema)
-    # pages of sites in one of several groups at a time: each group's keys are few enough to send
-    groups = -(-model.where("site is not null").count() // SENT)
-    g = F.pmod(F.xxhash64("site"), F.lit(groups))
-    out = None
-    for k in range(groups):
-        part = pages.where(g == k).mapInArrow(work(_model(model.where(F.col("site").isNull() | (g == k)))), schema)
-        out = part if out is None else out.unionByName(part)
-    return out
+        return pages.mapInArrow(work(_model(model)), schema)
+    # each page meets the keys of its own lines, so no worker holds more than a page's; a site's own run counts before the common one
+    keys = pages.select("row_id", "site", "text").mapInArrow(_page_keys, "row_id bigint, site string, key bigint")
+    own = model.where("site is not null").withColumnRenamed("mean_run", "of_site")
+    common = model.where("site is null").select("key", F.col("mean_run").alias("of_all"))
+    met = keys.join(own, ["site", "key"], "left").join(common, "key", "left").select("row_id", "site", "key", F.coalesce("of_site", "of_all").alias("run")).where("run is not null")
+    held = met.groupBy("row_id", "site").agg(F.collect_list(F.struct("key", "run")).alias("held")).select("row_id", "site", F.col("held.key").alias("keys"), F.col("held.run").alias("runs"))
+    return pages.join(stage(held, "page_keys"), ["row_id", "site"], "left").select("row_id", "site", "title", "text", "keys", "runs").mapInArrow(work(None), schema)
 
 
 def _model(model: DataFrame) -> dict:
