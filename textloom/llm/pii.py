@@ -163,9 +163,18 @@ def spelled(s: str) -> Iterator[tuple[int, int]]:
         yield run[0].start(), run[-1].end()
 
 
-def maybe_street(t: Tokens, kinds: dict[str, float], ctx: dict[str, float]) -> bool:
-    """Whether a number has a word of a known kind or a place after an address context near it; true wherever ``find`` may accept one."""
+def last_words(ctx: dict[str, float]) -> frozenset:
+    """Last words of the contexts of several words."""
+    return frozenset(c.rsplit(" ", 1)[1] for c in ctx if " " in c)
+
+
+def maybe_street(t: Tokens, kinds: dict[str, float], ctx: dict[str, float], ends: frozenset | None = None) -> bool:
+    """Whether a number has a word of a known kind or a place after an address context near it; true wherever ``find`` may accept one.
+
+    ``ends``: the contexts' last words, where known; a place after any other word has none of the contexts.
+    """
     words = t.words
+    ends = last_words(ctx) if ends is None else ends
     for i, w in enumerate(words):
         if not w[0].isdigit() or not HOUSE.match(w):
             continue
@@ -174,15 +183,25 @@ def maybe_street(t: Tokens, kinds: dict[str, float], ctx: dict[str, float]) -> b
         for x in (*words[max(0, i - 5) : i], *words[i + 1 : i + 4]):
             if x in kinds or x in SEED_STREETS or x in ("gasse", "allee"):
                 return True
-        for k in range(max(0, i - 5), i + 1):
-            if any(" " in c and c in ctx for c in t.contexts(k)):
-                return True
+        for k in range(max(1, i - 5), i + 1):
+            before = words[k - 1]
+            if before in ".!?;":
+                before = "|"
+            elif before[0].isdigit():
+                before = "0"
+            # titles are stepped over, so what is before them counts
+            if before in ends or before == "|" or before in SURE_TITLES:
+                if any(" " in c and c in ctx for c in t.contexts(k)):
+                    return True
     return False
 
 
 def streets(t: Tokens) -> Iterator[tuple[int, int, int, str]]:
     """(token, start, end, kind) of what may be a street with a house number; kind is the word that may name a street."""
-    s, words, starts = t.s, t.words, t.starts
+    s, words = t.s, t.words
+    if not any(w[0].isdigit() for w in words):
+        return
+    starts = t.starts
     for i, w in enumerate(words):
         if not w[0].isdigit() or not HOUSE.match(w) or (starts[i] and s[starts[i] - 1] in ":/.,+-(" ):
             continue
@@ -252,8 +271,8 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             if text:
                 _edges_of(text, out, df)
-            # a body that the text repeats is the same evidence
-            if body and not (text and body in text):
+            # a body that is the text is the same evidence
+            if body and body != text:
                 _edges_of(body, out, df)
         agg: Counter = Counter()
         seeds: Counter = Counter()
@@ -307,6 +326,7 @@ class Model:
     def __init__(self, ctx: dict[str, dict[str, float]], inst: dict[str, dict[str, float]], common: set[str]) -> None:
         self.ctx, self.inst, self.common = ctx, inst, common
         self._ac = None
+        self.street_ends = last_words(ctx["address"])
 
     def name_contexts(self) -> ahocorasick.Automaton:
         if self._ac is None:
@@ -319,7 +339,7 @@ class Model:
         return self._ac
 
     def __getstate__(self):
-        return {"ctx": self.ctx, "inst": self.inst, "common": self.common, "_ac": None}
+        return {"ctx": self.ctx, "inst": self.inst, "common": self.common, "street_ends": self.street_ends, "_ac": None}
 
 
 def fit(df: DataFrame, text: str = "text", body: str | None = "body") -> Model:
@@ -330,7 +350,8 @@ def fit(df: DataFrame, text: str = "text", body: str | None = "body") -> Model:
     ctx, insts = score(edges.where("kind <> 'w'"))
     best_ctx = ctx.where((F.col("conf") >= TRUST) & (F.col("support") >= SUPPORT)).select("type", "ctx", "conf").collect()
     best_inst = insts.where((F.col("score") >= TRUST) & (F.col("total") >= 2)).select("type", "inst", "score").collect()
-    total = df.select(F.count(text) + (F.count(body) if body else F.lit(0))).first()[0]
+    counted = F.count_if(F.length("a") > 0) + F.count_if((F.length("b") > 0) & ~F.col("b").eqNullSafe(F.col("a")))
+    total = df.select(*cols).select(counted).first()[0]
     given = {r["inst"] for r in best_inst if r["type"] == "name"}
     # at most (mean words of a text / COMMON) words reach that share
     frequent = edges.where((F.col("kind") == "w") & (F.col("n") >= max(5.0, COMMON * total))).select("inst").collect()
@@ -406,7 +427,7 @@ def find(text: str, model: Model) -> list[tuple[int, int, str]]:
         if best:
             out.append((a, b, best))
     spans: list[tuple[bool, int, int]] = []
-    for i, a, b, kind in streets(t) if maybe_street(t, model.inst["address"], model.ctx["address"]) else ():
+    for i, a, b, kind in streets(t) if maybe_street(t, model.inst["address"], model.ctx["address"], model.street_ends) else ():
         sure = kind in SEED_STREETS or kind in ("gasse", "allee")
         known = sure or (kind not in model.common and model.inst["address"].get(kind, 0) >= TRUST)
         by = any(len(c.split()) > 1 and c in model.ctx["address"] for c in t.contexts(i))
@@ -448,9 +469,9 @@ def _finder(model: Model):
             for row, text, body in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 types = {t for _, _, t in find(text, model)} if text else set()
                 out += [(row, "text", t) for t in sorted(types)]
-                # a body that a text without cases repeats has none
-                if body and (types or not text or body not in text):
-                    out += [(row, "body", t) for t in sorted({t for _, _, t in find(body, model)})]
+                if body:
+                    types = types if body == text else {t for _, _, t in find(body, model)}
+                    out += [(row, "body", t) for t in sorted(types)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.string()), pa.array([r[2] for r in out], pa.string())], names=["row_id", "field", "pii_type"])
 
     return go
