@@ -92,3 +92,39 @@ def test_the_model_keeps_all_contexts_and_instances(spark, monkeypatch):
     rows += [(f"My {w} is 0049-{i}{k}-12345{k}{k}.",) for i, w in enumerate(("mobile", "phone", "telephone")) for k in range(4)]
     model = pii.fit(spark.createDataFrame(rows, "text string"), body=None)
     assert len(model.ctx["phone"]) > 1 and len(model.inst["phone"]) > 1
+
+
+def test_marked_up_pages_lose_their_frames_by_rendering(spark):
+    page = "<html><body><nav><ul><li><a href=/>Start</a><li>Forum</ul></nav><div class='cookie-banner'><p>We use cookies.</p></div><article><h1>My knee</h1><p>It has hurt for {} days, and stairs are the worst of all.<ul><li>ice<li>rest</ul></article><aside>Related<p>Other knees</aside><footer>Imprint</footer><p style='display:none'>secret</p></body></html>"
+    rows = [(1, page.format(3), None, "My knee", "a.example", "s"), (2, "<div>" * 3000 + "deep" + "</div>" * 3000, None, None, "b.example", "s")]
+    got = {r["row_id"]: r["text"] for r in bp.main_text(merged(spark, rows)).collect()}
+    assert [x for x in got[1].split("\n") if x] == ["My knee", "It has hurt for 3 days, and stairs are the worst of all.", "* ice", "* rest"]
+    assert got[2].strip() == "deep" or "deep" in got[2]
+    lines = bp.lines_of(page.format(3))
+    found = {r["line_no"] for r in bp.found(merged(spark, rows)).collect() if r["row_id"] == 1}
+    assert {lines[n - 1] for n in found} == {"* Start", "* Forum", "We use cookies.", "Related", "Other knees", "Imprint"}
+
+
+def test_furniture_is_the_same_when_keys_are_joined(spark, monkeypatch):
+    rows = [(i, f"Home | Forums | Log in\nPosted by user{i} on {i}/5/24\nThis is story number {chr(97 + i)} of a patient with long words and no end in sight", None, None, f"{'ab'[i % 2]}.example", "s") for i in range(20)]
+    rows += [(100, None, None, None, None, None)]
+    sent = sorted(map(tuple, bp.found(merged(spark, rows)).collect()))
+    monkeypatch.setattr(bp, "SENT", 0)
+    assert sent and sorted(map(tuple, bp.found(merged(spark, rows)).collect())) == sent
+
+
+ES = ["El dolor pasa del cuello al brazo y por la noche es peor que nunca.", "Tomo las pastillas desde hace tres semanas y no ha cambiado nada.", "No sé si debo ir al médico o esperar a que se me pase con el tiempo."]
+FR = ["La douleur passe du cou au bras et elle est pire pendant la nuit.", "Je prends les comprimés depuis trois semaines et rien ne change.", "Dois-je aller chez le médecin ou attendre que cela passe avec le temps ?"]
+
+
+def test_languages_that_no_source_declares(spark):
+    rows = [(i, " ".join(EN[i % 3 :] + EN[: i % 3]) + f" {i}.", None, None, "a", "en1") for i in range(30)]
+    rows += [(50 + i, " ".join(FR[i % 3 :] + FR[: i % 3]) + f" {i}.", None, None, "a", "fr1") for i in range(30)]
+    rows += [(100 + i, " ".join(ES[i % 3 :] + ES[: i % 3]) + f" {i}.", None, None, "a", "none") for i in range(30)]
+    rows += [(200, "Zxq vrrk bnnt plmmk wqqz trrg hjjk vzzx qwwk plrr tnnk zzvq. Kkrw qqzt vbbn mmlk rrtq zzxw hhjk ppqz. " * 2, None, None, "a", "none")]
+    sources = spark.createDataFrame([("en1", "p1"), ("fr1", "p2"), ("none", "p3")], "id string, profile_id string")
+    profiles = spark.createDataFrame([("p1", "en"), ("p2", "fr"), ("p3", None)], "profile_id string, language string")
+    rec = {r["row_id"]: r for r in langid.by_record(merged(spark, rows), sources, profiles).collect()}
+    assert {rec[100 + i]["lang"] for i in range(30)} == {"es"}
+    assert rec[0]["lang"] == "en" and rec[50]["lang"] == "fr"
+    assert rec[200]["lang"] == "und" and rec[200]["confidence"] == 0.0
