@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: White space as string methods strip it, in a class that RE2 and Java read alike.
 WS = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
+NOT_WS = r"[^\s\x0b\x1c-\x1f\x85\p{Z}]"
+#: The same characters for functions that take a set.
+WS_CHARS = "".join(map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 
 # Patterns of personal data and their tokens.
 EMAIL = r"(?i)[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}"
@@ -22,19 +28,19 @@ def _c(c: Column | str) -> Column:
 
 def strip(c: Column | str) -> Column:
     """White space of any kind taken from both ends."""
-    return F.regexp_replace(_c(c), f"^{WS}+|{WS}+$", "")
+    return F.btrim(_c(c), F.lit(WS_CHARS))
 
 
 def blank(c: Column | str) -> Column:
     """A string of white space only; null is not blank."""
-    return _c(c).isNotNull() & (strip(c) == "")
+    return _c(c).isNotNull() & ~_c(c).rlike(NOT_WS)
 
 
 def missing(c: Column | str, kind: str = "string") -> Column:
     """Null, NaN, or a blank string."""
     col = _c(c)
     if kind == "string":
-        return col.isNull() | (strip(col) == "")
+        return col.isNull() | ~col.rlike(NOT_WS)
     if kind in ("double", "float"):
         return col.isNull() | F.isnan(col)
     return col.isNull()
@@ -104,6 +110,12 @@ def token(c: str, kind: str) -> Column:
     return F.coalesce(F.to_json(c) if nested else F.col(c).cast("string"), F.lit(""))
 
 
+def key128(*cols: Column) -> list[Column]:
+    """Two 64-bit hashes that stand for a key in groupings, so wide values don't move; nulls differ from all values."""
+    parts = [x for c in cols for x in (c.isNull(), c)]
+    return [F.xxhash64(*parts).alias("__h1"), F.xxhash64(F.lit(0x9E3779B9), *parts).alias("__h2")]
+
+
 def fingerprint(dtypes: list[tuple[str, str]]) -> Column:
     """SHA-256 over ``name=value`` of the given columns, in order, joined by the unit separator."""
     return F.sha2(F.concat_ws("\x1f", *[F.concat(F.lit(f"{n}="), token(n, t)) for n, t in dtypes]), 256)
@@ -111,11 +123,35 @@ def fingerprint(dtypes: list[tuple[str, str]]) -> Column:
 
 def keyword_hits(c: Column | str, keywords: list[str]) -> Column:
     """How many of the keywords occur as whole words."""
-    return sum((_c(c).rlike(r"\b" + k.replace("-", r"\-") + r"\b").cast("int") for k in keywords), F.lit(0))
+    # the plain search comes first: most texts have none of the words
+    return sum(((_c(c).contains(k) & _c(c).rlike(r"\b" + k.replace("-", r"\-") + r"\b")).cast("int") for k in keywords), F.lit(0))
+
+
+def required(pattern: str) -> list[str]:
+    """Literals one of which any match of a pattern contains: the beginnings of the shortest group's alternatives."""
+    best: list[str] = []
+    for group in re.findall(r"\(([^()]*)\)", pattern):
+        heads = []
+        for way in group.split("|"):
+            head = re.match(r"[a-z0-9 -]*", way).group()
+            if way[len(head) : len(head) + 1] in ("?", "*", "{"):
+                head = head[:-1]
+            heads.append(head)
+        if all(len(h) > 2 for h in heads) and (not best or len(heads) < len(best)):
+            best = heads
+    return best
 
 
 def pattern_hits(c: Column | str, patterns: list[str]) -> Column:
-    return sum((_c(c).rlike("(?i)" + p).cast("int") for p in patterns), F.lit(0))
+    """How many of the patterns occur in a lower-case text."""
+    out = F.lit(0)
+    for p in patterns:
+        hit = _c(c).rlike(p)
+        literals = required(p)
+        if literals:
+            hit = reduce(lambda a, b: a | b, [_c(c).contains(x) for x in literals]) & hit
+        out = out + hit.cast("int")
+    return out
 
 
 def truncate(c: Column | str, limit: int = 220) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
+from textloom.operators.quantiles import quantiles
 
 # The safety task's labels, words and patterns.
 SAFETY = ("safe", "borderline_safe", "unsafe")
@@ -44,7 +45,7 @@ def warnings(x: Column) -> Column:
         F.array(
             F.when(signs < 0.35 * F.length(x), "low_signal_text"),
             F.when(noisy, "noisy_text"),
-            F.when((T.words(x) == 1) & (F.length(x) > 24), "single_token_text"),
+            F.when(~x.contains(" ") & (F.length(x) > 24), "single_token_text"),
             F.when(F.length(x) < 3, "very_short_text"),
         )
     )
@@ -168,7 +169,7 @@ def confidence_summary(df: DataFrame, threshold: float = 0.72) -> DataFrame:
     return df.agg(
         F.count(F.lit(1)).alias("rows"),
         F.round(F.avg("confidence"), 6).alias("mean_confidence"),
-        F.round(F.median("confidence"), 6).alias("median_confidence"),
+        F.round(F.lit(quantiles(df, ["confidence"], [0.5])["confidence"][0]).cast("double"), 6).alias("median_confidence"),
         F.round(F.avg(F.when(F.col("confidence").isNotNull(), (F.col("confidence") < threshold).cast("double"))), 6).alias("low_share"),
         F.count_if(F.coalesce("needs_review", F.lit(False))).alias("needs_review"),
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
+from textloom.operators.quantiles import quantiles
 
 # English stop words left out of token counts.
 STOPWORDS = tuple(
@@ -36,32 +37,35 @@ def value_counts(df: DataFrame, column: str, k: int) -> DataFrame:
 def length_stats(df: DataFrame, column: str) -> DataFrame:
     """(n, mean_chars, median_chars, p99_chars, max_chars, mean_words) of the texts that aren't null."""
     d = df.where(F.col(column).isNotNull()).select(F.length(column).alias("c"), T.words(column).alias("w"))
-    return d.agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("c"), 4).alias("mean_chars"), F.median("c").alias("median_chars"), F.round(F.percentile("c", F.lit(0.99)), 4).alias("p99_chars"), F.max("c").alias("max_chars"), F.round(F.avg("w"), 4).alias("mean_words"))
+    half, top = quantiles(d, ["c"], [0.5, 0.99])["c"]
+    return d.agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("c"), 4).alias("mean_chars"), F.lit(half).cast("double").alias("median_chars"), F.round(F.lit(top).cast("double"), 4).alias("p99_chars"), F.max("c").alias("max_chars"), F.round(F.avg("w"), 4).alias("mean_words"))
 
 
 def length_histogram(df: DataFrame, column: str, bins: int = 40) -> DataFrame:
     """(bin, n): lengths clipped at the 99th percentile in equal bins from 0."""
     d = df.where(F.col(column).isNotNull()).select(F.length(column).cast("double").alias("c"))
-    top = d.agg(F.greatest(F.percentile("c", F.lit(0.99)), F.lit(1.0)).alias("top"))
-    b = F.least(F.floor(F.least("c", "top") * bins / F.col("top")), F.lit(bins - 1))
-    return d.join(F.broadcast(top), F.lit(True)).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    top = F.lit(max(quantiles(d, ["c"], [0.99])["c"][0] or 1.0, 1.0))
+    b = F.least(F.floor(F.least("c", top) * bins / top), F.lit(bins - 1))
+    return d.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column_name, n, mean, std, min, q1, median, q3, max) in one pass."""
-    aggs = []
+    aggs, quarts = [], quantiles(df, columns, [0.25, 0.5, 0.75])
     for i, c in enumerate(columns):
         x = F.col(c).cast("double")
-        aggs += [F.count(c).alias(f"{i}_n"), F.round(F.avg(x), 4).alias(f"{i}_mean"), F.round(F.stddev_samp(x), 4).alias(f"{i}_std"), F.min(x).alias(f"{i}_min"), F.percentile(x, F.array(*[F.lit(q) for q in (0.25, 0.5, 0.75)])).alias(f"{i}_q"), F.max(x).alias(f"{i}_max")]
+        aggs += [F.count(c).alias(f"{i}_n"), F.round(F.avg(x), 4).alias(f"{i}_mean"), F.round(F.stddev_samp(x), 4).alias(f"{i}_std"), F.min(x).alias(f"{i}_min"), F.max(x).alias(f"{i}_max")]
     row = df.agg(*aggs)
-    parts = [F.struct(F.lit(c).alias("column_name"), F.col(f"{i}_n").alias("n"), F.col(f"{i}_mean").alias("mean"), F.col(f"{i}_std").alias("std"), F.col(f"{i}_min").alias("min"), *[F.round(F.col(f"{i}_q")[k], 4).alias(q) for k, q in enumerate(("q1", "median", "q3"))], F.col(f"{i}_max").alias("max")) for i, c in enumerate(columns)]
+    parts = [F.struct(F.lit(c).alias("column_name"), F.col(f"{i}_n").alias("n"), F.col(f"{i}_mean").alias("mean"), F.col(f"{i}_std").alias("std"), F.col(f"{i}_min").alias("min"), *[F.round(F.lit(quarts[c][k]).cast("double"), 4).alias(q) for k, q in enumerate(("q1", "median", "q3"))], F.col(f"{i}_max").alias("max")) for i, c in enumerate(columns)]
     return row.select(F.explode(F.array(*parts)).alias("x")).select("x.*")
 
 
 def categorical(df: DataFrame, columns: list[str], most: int = 50) -> DataFrame:
     """(column_name, distinct): columns of 2 to ``most`` distinct values."""
-    row = df.agg(*[F.count_distinct(c).alias(c) for c in columns])
-    return row.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("distinct_values")) for c in columns])).alias("x")).select("x.*").where((F.col("distinct_values") >= 2) & (F.col("distinct_values") <= most))
+    # distinct hashes of (column, value) in one shuffle; several count_distinct would expand every row
+    cells = F.array(*[F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("column_name"), *T.key128(F.col(c)))) for c in columns])
+    counts = df.select(F.explode(F.array_compact(cells)).alias("x")).select("x.*").distinct().groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_values"))
+    return counts.where((F.col("distinct_values") >= 2) & (F.col("distinct_values") <= most))
 
 
 def years(df: DataFrame, column: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
+from textloom.operators.quantiles import quantiles
 
 # Columns that mostly name a label, in order of preference.
 LABELS = ("label", "target", "class", "category", "sentiment")
@@ -28,8 +29,11 @@ def missing_profile(df: DataFrame, columns: list[str] | None = None) -> DataFram
     types = dict(df.dtypes)
     names = columns or df.columns
     flags = [T.missing(c, types[c]) for c in names]
-    aggs = [F.count_if(f).alias(f"{i}_n") for i, f in enumerate(flags)] + [F.count_if(_any(flags)).alias(f"{len(names)}_n"), F.count(F.lit(1)).alias("total")]
-    row = df.agg(*aggs)
+    seen = [F.col(f"__m{i}") for i in range(len(flags))]
+    aggs = [F.count_if(f).alias(f"{i}_n") for i, f in enumerate(seen)] + [F.count_if(_any(seen)).alias(f"{len(names)}_n"), F.count(F.lit(1)).alias("total")]
+    # each flag once a row
+    marked = df.select(*[f.alias(f"__m{i}") for i, f in enumerate(flags)])
+    row = marked.agg(*aggs)
     for i in range(len(names) + 1):
         row = row.withColumn(f"{i}_p", T.percentage(F.col(f"{i}_n"), F.col("total")))
     return _long(row, [*names, "*"], {"n": "missing", "p": "percent"}, "column_name")
@@ -37,25 +41,21 @@ def missing_profile(df: DataFrame, columns: list[str] | None = None) -> DataFram
 
 def duplicate_counts(df: DataFrame, subsets: dict[str, list[Column]]) -> DataFrame:
     """(kind, duplicates, percent): rows beyond the first of equal keys; null keys equal each other."""
-    out = []
-    for kind, cols in subsets.items():
-        keyed = df.select(*[c.alias(f"k{i}") for i, c in enumerate(cols)]).groupBy(*[f"k{i}" for i in range(len(cols))]).agg(F.count(F.lit(1)).alias("n"))
-        s = keyed.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"))
-        out.append(s.select(F.lit(kind).alias("kind"), "duplicates", T.percentage(F.col("duplicates"), F.col("total")).alias("percent")))
-    return reduce(DataFrame.unionByName, out)
+    # one scan; only hashes of the keys move
+    keys = F.array(*[F.struct(F.lit(kind).alias("kind"), *T.key128(*cols)) for kind, cols in subsets.items()])
+    counts = df.select(F.explode(keys).alias("k")).groupBy("k.kind", "k.__h1", "k.__h2").agg(F.count(F.lit(1)).alias("n"))
+    s = counts.groupBy("kind").agg(F.sum("n").alias("total"), F.sum(F.col("n") - 1).alias("duplicates"))
+    every = df.sparkSession.createDataFrame([(k,) for k in subsets], "kind string")
+    s = every.join(s, "kind", "left").select("kind", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("duplicates", F.lit(0)).alias("duplicates"))
+    return s.select("kind", "duplicates", T.percentage(F.col("duplicates"), F.col("total")).alias("percent"))
 
 
 def iqr_bounds(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float] | None]:
     """Quartiles by linear interpolation, widened by 1.5 of their distance; None below two values."""
-    row = df.agg(*[F.percentile(F.col(c), F.array(F.lit(0.25), F.lit(0.75))).alias(f"q{i}") for i, c in enumerate(columns)], *[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    out: dict[str, tuple[float, float] | None] = {}
-    for i, c in enumerate(columns):
-        if row[f"n{i}"] < 2:
-            out[c] = None
-            continue
-        a, b = row[f"q{i}"]
-        out[c] = (a - 1.5 * (b - a), b + 1.5 * (b - a))
-    return out
+    row = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    wanted = [c for i, c in enumerate(columns) if row[f"n{i}"] >= 2]
+    quarts = quantiles(df, wanted, [0.25, 0.75]) if wanted else {}
+    return {c: (a - 1.5 * (b - a), b + 1.5 * (b - a)) if (a := quarts.get(c, [None])[0]) is not None and (b := quarts[c][1]) is not None else None for c in columns}
 
 
 def z_bounds(df: DataFrame, columns: list[str], width: float = 3.0) -> dict[str, tuple[float, float] | None]:
@@ -124,12 +124,14 @@ def infer_columns(df: DataFrame, numeric_share: float = 0.8, filled_share: float
 
 def text_quality(df: DataFrame, column: str, min_chars: int = 15) -> DataFrame:
     """(metric, n): blank, short, exact and normalised duplicates, and personal-data rows of a text column."""
-    s = T.strip(F.coalesce(F.col(column), F.lit("")))
-    flat = df.agg(
-        F.count_if(T.missing(column)).alias("empty"),
-        F.count_if((s != "") & (F.length(s) < min_chars)).alias("short"),
-        *[F.count_if(T.hits(column, k)).alias(f"{k}_rows") for k in T.PATTERNS],
-        F.count_if(T.any_hit(column)).alias("pii_rows"),
+    # each flag once a row
+    kinds = list(T.PATTERNS)
+    flags = df.select(F.length(T.strip(F.coalesce(F.col(column), F.lit("")))).alias("__n"), *[T.hits(column, k).alias(f"__{k}") for k in kinds])
+    flat = flags.agg(
+        F.count_if(F.col("__n") == 0).alias("empty"),
+        F.count_if((F.col("__n") > 0) & (F.col("__n") < min_chars)).alias("short"),
+        *[F.count_if(F.col(f"__{k}")).alias(f"{k}_rows") for k in kinds],
+        F.count_if(_any([F.col(f"__{k}") for k in kinds])).alias("pii_rows"),
         F.count(F.lit(1)).alias("rows"),
     )
     names = flat.columns

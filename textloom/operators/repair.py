@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import text as T
 from textloom.operators import profile
+from textloom.operators.quantiles import modes, quantiles
 
 
 def blank_to_null(df: DataFrame) -> DataFrame:
@@ -21,22 +22,27 @@ def blank_to_null(df: DataFrame) -> DataFrame:
 
 
 def fill_values(df: DataFrame, strategies: dict[str, str | tuple[str, object]]) -> dict[str, object]:
-    """Fill value of each column in one pass: mean, median, mode (ties to the smallest) or a constant."""
+    """Fill value of each column: mean, median, mode (ties to the smallest) or a constant."""
     types = dict(df.dtypes)
-    aggs, out = [], {}
-    for i, (c, s) in enumerate(strategies.items()):
+    means, medians, common, out = [], [], [], {}
+    for c, s in strategies.items():
         name, const = s if isinstance(s, tuple) else (s, None)
         numeric = types[c] in ("tinyint", "smallint", "int", "bigint", "float", "double")
         if name == "constant":
             out[c] = const
         elif name in ("mean", "median") and numeric:
-            aggs.append((c, (F.avg(c) if name == "mean" else F.median(c)).alias(f"v{i}")))
+            if name == "mean":
+                means.append(c)
+            else:
+                medians.append(c)
         elif name == "mode":
-            aggs.append((c, F.mode(c, True).alias(f"v{i}")))
-    if aggs:
-        row = df.agg(*[a for _, a in aggs]).first()
-        out |= {c: row[k] for k, (c, _) in enumerate(aggs)}
-    return out
+            common.append(c)
+    if means:
+        row = df.agg(*[F.avg(c).alias(f"v{i}") for i, c in enumerate(means)]).first()
+        out |= {c: row[f"v{i}"] for i, c in enumerate(means)}
+    if medians:
+        out |= {c: v[0] for c, v in quantiles(df, medians, [0.5]).items()}
+    return out | modes(df, common)
 
 
 def impute(df: DataFrame, strategies: dict[str, str | tuple[str, object]]) -> DataFrame:
@@ -60,7 +66,7 @@ def dedupe(df: DataFrame, keys: list[str], order: str, keep: str = "first") -> D
     if keep not in ("first", "last"):
         raise ValueError(f"unknown way to keep duplicates: {keep}")
     cols = [T.normal_key(k.removeprefix("normalized_")) if k.startswith("normalized_") and k not in df.columns else F.col(k) for k in keys]
-    kept = df.groupBy(*[c.alias(f"__k{i}") for i, c in enumerate(cols)]).agg((F.min if keep == "first" else F.max)(order).alias(order)).select(order)
+    kept = df.groupBy(*T.key128(*cols)).agg((F.min if keep == "first" else F.max)(order).alias(order)).select(order)
     return df.join(kept, order, "left_semi")
 
 
