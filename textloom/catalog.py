@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import text as T
 from textloom.functions import urls as U
-from textloom.operators import active, annotate, discovery, eda, merge, neardup, profile, repair, schema
+from textloom.operators import active, annotate, discovery, eda, merge, neardup, profile, quality, repair, schema
 from textloom.session import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,7 +114,21 @@ def numeric_parse_ratio(spark, d):
     return profile.parse_ratio(_t(spark, d, "merged_dataset"), ["source_id", "id", "label"])
 
 
-@query()
+TYPES = {"row_id": "bigint", "collected_at": "timestamp"}
+MERGED = ["row_id", "id", "text", "target_text", "title", "body", "label", "source", "source_type", "source_url", "collected_at", "metadata", "audio", "image", "source_id", "record_hash", "split"]
+
+
+def _kind_sql(c: str) -> str:
+    if c in TYPES:
+        return f"select '{c}' as column_name, '{'numeric' if TYPES[c] == 'bigint' else 'other'}' as kind"
+    number = "regexp_matches(" + _strip(c) + r", '^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$')"
+    return (
+        f"select '{c}' as column_name, case when coalesce(avg(case when {c} is not null then {number}::int end), 0) >= 0.8 then 'numeric' "
+        f"when count(*) filter (where not {_missing(c)}) >= 0.1 * greatest(count(*), 1) and coalesce(avg(case when not {_missing(c)} then length({c}) end), 0) >= 2 then 'meaningful_text' else 'other' end as kind from merged_dataset"
+    )
+
+
+@query(" union all ".join(map(_kind_sql, MERGED)))
 def infer_columns(spark, d):
     return profile.infer_columns(_t(spark, d, "merged_dataset"))
 
@@ -239,7 +253,20 @@ def stratified_cap(spark, d):
     return capped.groupBy(F.coalesce("source_type", F.lit("__na__")).alias("stratum")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+def _remainder_sql(rows: str, out: str, units: str, by: str) -> str:
+    """Shares of ``units`` among the rows (k, w, pos) of each ``by``: whole parts, then one each to the largest fractions, first come first."""
+    return (
+        f"{out}_r as (select *, {units} * w / sum(w) over (partition by {by}) as raw from {rows}), "
+        f"{out}_o as (select *, floor(raw) as whole, row_number() over (partition by {by} order by raw - floor(raw) desc, pos) as turn from {out}_r), "
+        f"{out} as (select *, (whole + case when turn <= {units} - sum(whole) over (partition by {by}) then 1 else 0 end)::bigint as units from {out}_o)"
+    )
+
+
+@query(
+    "with s as (select id, coalesce(type, '') as stratum, case when coalesce(estimated_rows, 0) > 0 then estimated_rows::double else 1.0 end as w, row_number() over (order by id) as pos from sources), "
+    "g as (select stratum, sum(w) as w, min(pos) as pos, 20000 - (select count(*) from s) as extra from s group by 1), " + _remainder_sql("g", "h", "extra", "extra") + ", "
+    "i as (select s.id, s.stratum, s.w, s.pos, h.units as extra from s join h using (stratum)), " + _remainder_sql("i", "j", "extra", "stratum") + " select id as source_id, 1 + units as rows from j"
+)
 def row_budgets(spark, d):
     specs = [r.asDict() for r in _t(spark, d, "sources").select("id", "name", "type", "estimated_rows").orderBy("id").collect()]
     return spark.createDataFrame(list(merge.row_budgets(specs, 20_000, "source_type").items()), "source_id string, rows bigint")
@@ -333,12 +360,33 @@ def _candidates(spark, d) -> DataFrame:
     return j.select(F.col("id").alias("candidate_id"), "type", "name", F.coalesce("url", "endpoint", "repo_url").alias("url"), rel.alias("relevance"))
 
 
-@query()
+CANDIDATES_SQL = (
+    "with p as (select id, type, name, coalesce(url, endpoint, repo_url) as url, topic, task_type, allowed_domains, dataset_id from sources join topic_profiles using (profile_id)), "
+    "r as (select *, case type " + " ".join(f"when '{t}' then {i + 1}" for i, t in enumerate(discovery.TYPE_ORDER)) + f" else {len(discovery.TYPE_ORDER) + 1} end as type_rank, "
+    "len(list_filter(string_split_regex(lower(coalesce(topic, '')), '\\s+'), lambda w: w <> '' and contains(lower(coalesce(name, '')), w))) > 0 as topical from p), "
+    "q as (select *, round(0.5 * topical::int + 0.2 / type_rank + 0.1 * least(1.0, (coalesce(len(allowed_domains), 0) + (dataset_id is not null)::int) / 6.0) + 0.05 * (task_type is not null)::int, 4)::double as relevance from r), "
+    f"u as (select *, regexp_extract(coalesce(url, ''), '{URL_RE}', 1) as us, regexp_extract(coalesce(url, ''), '{URL_RE}', 2) as uh, regexp_extract(coalesce(url, ''), '{URL_RE}', 3) as up, regexp_extract(coalesce(url, ''), '{URL_RE}', 4) as uq from q), "
+    "k as (select *, array_to_string(list_sort(list_filter(string_split(regexp_replace(uq, '^\\?', ''), '&'), lambda x: regexp_matches(x, '^[^=]+=.+'))), '&') as qs from u), "
+    "c as (select *, coalesce(nullif(case when coalesce(url, '') = '' then '' else lower(us) || '://' || lower(uh) || regexp_replace(up, '/+$', '') || case when qs = '' then '' else '?' || qs end end, ''), id) as page from k), "
+    "one as (select *, row_number() over (partition by page order by relevance desc, id desc) as i from c), two as (select *, row_number() over (partition by type, lower(name) order by relevance desc, id desc) as j from one where i = 1), "
+    "best as (select id as candidate_id, type, name, url, relevance, type_rank from two where j = 1) "
+)
+
+
+@query(CANDIDATES_SQL + "select candidate_id, type, name, url, relevance from best")
 def candidate_ranking(spark, d):
     return discovery.order(discovery.dedupe(_candidates(spark, d)))
 
 
-@query()
+@query(
+    CANDIDATES_SQL.rstrip() + ", t as (select *, case when type in ('hf_dataset','kaggle','github_dataset','http_file') then 'open' when type = 'api' then 'api' else 'scrape' end as tier, row_number() over (order by relevance desc, type_rank, name) as rank from best), "
+    "v as (select *, row_number() over (partition by tier order by rank) as n from t), "
+    "o as (select 0 as no, 'balanced' as plan, candidate_id, lower(name) as name, rank, case when n = 1 and tier = 'open' then 1 when n = 1 and tier = 'api' then 2 when n = 1 and tier = 'scrape' then 3 when rank <= 3 then 3 + rank end as turn from v "
+    "union all select 1, 'open', candidate_id, lower(name), rank, case when tier = 'open' and n <= 2 then n when tier = 'api' and n = 1 then 3 end from v union all select 2, 'top', candidate_id, lower(name), rank, case when rank <= 3 then rank end from v), "
+    "d as (select *, row_number() over (partition by no, name order by turn) as again from o where turn is not null), e as (select *, row_number() over (partition by no order by turn) as at from d where again = 1), "
+    "f as (select no, plan, list(candidate_id order by rank) as those from e where at <= 3 group by 1, 2), w as (select *, row_number() over (partition by those order by no) as first from f) "
+    "select plan, unnest(range(1, len(those) + 1)) as position, unnest(those) as candidate_id from w where first = 1"
+)
 def candidate_plans(spark, d):
     return discovery.plans(discovery.dedupe(_candidates(spark, d)))
 
@@ -433,14 +481,18 @@ def latest_review(spark, d):
     return last.join(ids, "annotation_id").select("annotation_id", F.coalesce("human_label", F.lit("∅")).alias("human_label"), "ls_annotation_id")
 
 
-@query()
+@query("select annotation_id, sha256(coalesce(text, '')) as digest, auto_label as choice, round(confidence, 6) as score from annotations")
 def tool_tasks(spark, d):
-    return annotate.tool_tasks(_t(spark, d, "annotations"))
+    tasks = annotate.tool_tasks(_t(spark, d, "annotations"))
+    first = F.from_json("task", "data struct<annotation_id string, text string>, predictions array<struct<score double, result array<struct<value struct<choices array<string>>>>>>")
+    t = tasks.select(first.alias("t"))
+    return t.select("t.data.annotation_id", F.sha2(F.coalesce("t.data.text", F.lit("")), 256).alias("digest"), F.col("t.predictions")[0]["result"][0]["value"]["choices"][0].alias("choice"), F.round(F.col("t.predictions")[0]["score"], 6).alias("score"))
 
 
-@query()
+@query("select auto_label, least(count(*), 25) as n, least(count(*), 25) as ids from (select distinct annotation_id, row_id, auto_label from annotations) group by 1")
 def audit_sample(spark, d):
-    return annotate.audit_sample(_t(spark, d, "annotations").select("annotation_id", "row_id", "auto_label").distinct(), 25, row="annotation_id")
+    sample = annotate.audit_sample(_t(spark, d, "annotations").select("annotation_id", "row_id", "auto_label").distinct(), 25, row="annotation_id")
+    return sample.groupBy("auto_label").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("annotation_id").alias("ids"))
 
 
 # ---- joins and sets
@@ -451,10 +503,10 @@ def pool_anti_join(spark, d):
     return _t(spark, d, "merged_dataset").select("row_id").join(_t(spark, d, "annotations").select("row_id").distinct(), "row_id", "left_anti")
 
 
-@query("with h as (select a.row_id, min(h.human_label) as new from annotations a join human_labels h on a.annotation_id = h.annotation_id where h.human_label is not null group by 1) select m.row_id, coalesce(h.new, m.label) as final_label from merged_dataset m left join h on m.row_id = h.row_id")
+@query("with h as (select a.row_id, arg_min(h.human_label, h.ls_annotation_id) as new from annotations a join human_labels h on a.annotation_id = h.annotation_id where h.human_label is not null group by 1) select m.row_id, coalesce(h.new, m.label) as final_label from merged_dataset m left join h on m.row_id = h.row_id")
 def label_overlay(spark, d):
-    acc = _t(spark, d, "annotations").select("annotation_id", "row_id").join(_t(spark, d, "human_labels").where("human_label is not null").select("annotation_id", F.col("human_label").alias("label")), "annotation_id").select("row_id", "label")
-    return active.overlay_labels(_t(spark, d, "merged_dataset").select("row_id", F.col("label").alias("final_label")), acc)
+    acc = _t(spark, d, "annotations").select("annotation_id", "row_id").join(_t(spark, d, "human_labels").where("human_label is not null").select("annotation_id", "ls_annotation_id", F.col("human_label").alias("label")), "annotation_id").select("row_id", "ls_annotation_id", "label")
+    return active.overlay_labels(_t(spark, d, "merged_dataset").select("row_id", F.col("label").alias("final_label")), acc, order="ls_annotation_id")
 
 
 @query("with p as (select lower(trim(a.auto_label)) as pred, lower(trim(h.human_label)) as label from annotations a join human_labels h on a.annotation_id = h.annotation_id where trim(coalesce(h.human_label, '')) <> '' and trim(coalesce(a.auto_label, '')) <> ''), "
@@ -529,12 +581,16 @@ def near_duplicate_drops(spark, d):
     return neardup.drop_near(_t(ship(spark), d, "merged_dataset"), threshold=0.92)
 
 
-@query()
+@query("with c as (select count(*) as n from merged_dataset), t as (select n, least(round_even(n * 0.2, 0)::bigint, n - 3) as test from c) select unnest(['test', 'seed', 'pool']) as part, unnest([test, least(50, n - test - 1), n - test - least(50, n - test - 1)]) as n, unnest([test, least(50, n - test - 1), n - test - least(50, n - test - 1)]) as ids from t")
 def al_split(spark, d):
-    return active.bucket_split(_t(spark, d, "merged_dataset").select("row_id", "label")).groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    parts = active.bucket_split(_t(spark, d, "merged_dataset").select("row_id", "label"), label="label")
+    return parts.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("row_id").alias("ids"))
 
 
-@query()
+@query(
+    "with p as (select distinct annotation_id, map_values(class_scores) as v from annotations), s as (select annotation_id, -list_sum(list_transform(v, lambda x: x * ln(x + 1e-12))) as score from p) "
+    "select annotation_id, round(score, 6) as selection_score, 'entropy' as strategy from s order by score desc, annotation_id limit 20"
+)
 def al_query_entropy(spark, d):
     df = _t(spark, d, "annotations").select("annotation_id", F.map_values("class_scores").alias("proba")).distinct()
     return active.query(df, "entropy", 20, "annotation_id").select("annotation_id", F.round("selection_score", 6).alias("selection_score"), "strategy")

@@ -61,13 +61,28 @@ def order(df: DataFrame) -> DataFrame:
 
 
 def plans(df: DataFrame, size: int = 3) -> DataFrame:
-    """(plan, position, candidate_id): the balanced plan (best open set, API and scrape) and the plain top."""
+    """(plan, position, candidate_id) of up to three plans of different candidates, each in the order of ranks.
+
+    The balanced plan takes the best open set, API and scrape and fills up from the top; the open plan two open sets and an
+    API; the top plan the first three. Candidates of a name count once, plans of the same candidates are given once.
+    """
     tier = F.when(F.col("type").isin("hf_dataset", "kaggle", "github_dataset", "http_file"), "open").when(F.col("type") == "api", "api").otherwise("scrape")
-    w = Window.partitionBy("tier").orderBy(F.desc("relevance"), "name")
-    best = df.withColumn("tier", tier).withColumn("r", F.row_number().over(w)).where("r = 1")
-    balanced = best.select(F.lit("balanced").alias("plan"), F.when(F.col("tier") == "open", 1).when(F.col("tier") == "api", 2).otherwise(3).alias("position"), "candidate_id")
-    top = df.withColumn("position", F.row_number().over(Window.orderBy(F.desc("relevance"), type_rank("type"), "name"))).where(F.col("position") <= size).select(F.lit("top").alias("plan"), "position", "candidate_id")
-    return balanced.unionByName(top)
+    # candidates are few: they come from one discovery
+    rank = Window.orderBy(F.desc("relevance"), type_rank("type"), "name")
+    ranked = df.withColumn("tier", tier).withColumn("rank", F.row_number().over(rank)).withColumn("in_tier", F.row_number().over(Window.partitionBy("tier").orderBy("rank")))
+    first = F.col("in_tier") == 1
+    choices = {
+        "balanced": F.when(first & (F.col("tier") == "open"), 1).when(first & (F.col("tier") == "api"), 2).when(first & (F.col("tier") == "scrape"), 3).when(F.col("rank") <= size, F.lit(size) + F.col("rank")),
+        "open": F.when((F.col("tier") == "open") & (F.col("in_tier") <= 2), F.col("in_tier")).when(first & (F.col("tier") == "api"), 3),
+        "top": F.when(F.col("rank") <= size, F.col("rank")),
+    }
+    offered = F.explode(F.array(*[F.struct(F.lit(i).alias("no"), F.lit(n).alias("plan"), c.alias("turn")) for i, (n, c) in enumerate(choices.items())])).alias("o")
+    taken = ranked.select("candidate_id", "rank", F.lower("name").alias("name"), offered).select("candidate_id", "rank", "name", "o.*").where("turn is not null")
+    once = taken.withColumn("again", F.row_number().over(Window.partitionBy("no", "name").orderBy("turn"))).where("again = 1")
+    kept = once.withColumn("turn", F.row_number().over(Window.partitionBy("no").orderBy("turn"))).where(F.col("turn") <= size)
+    whole = kept.groupBy("no", "plan").agg(F.array_sort(F.collect_list(F.struct("rank", "candidate_id"))).alias("those"))
+    new = whole.groupBy("those").agg(F.min(F.struct("no", "plan")).alias("p"))
+    return new.select("p.plan", F.posexplode("those").alias("position", "c")).select("plan", (F.col("position") + 1).alias("position"), "c.candidate_id")
 
 
 def file_score(path: Column | str, size: Column | str) -> Column:

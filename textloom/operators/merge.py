@@ -81,7 +81,8 @@ def largest_remainder(weights: dict[str, float], k: int) -> dict[str, int]:
     raw = {key: k * max(0.0, w) / total for key, w in weights.items()}
     out = {key: math.floor(x) for key, x in raw.items()}
     rest = k - sum(out.values())
-    for _, key in sorted(((raw[key] - out[key], key) for key in weights), reverse=True)[: max(rest, 0)]:
+    # equal fractions keep the order of the weights
+    for key in sorted(weights, key=lambda key: out[key] - raw[key])[: max(rest, 0)]:
         out[key] += 1
     return out
 
@@ -105,6 +106,13 @@ def row_budgets(sources: list[dict], most: int, by: str = "source") -> dict[str,
     return out
 
 
+def effective_sample(budget: int | None, sample_size: int | None) -> int | None:
+    """Rows that a source may give: the tighter of its budget and its own sample size; a budget below 1 gives none."""
+    if budget is None:
+        return sample_size
+    return 0 if budget <= 0 else budget if sample_size is None else min(budget, int(sample_size))
+
+
 def stratum_seed(label: Column, seed: int) -> Column:
     """Seed of a stratum's sample: the seed plus the CRC of its label, 31 bits, never 0."""
     x = (F.lit(seed) + F.crc32(F.concat(label, F.char(F.lit(0))))).bitwiseAND(0x7FFFFFFF)

@@ -12,6 +12,9 @@ CONTRACT = ("id", "text", "target_text", "title", "body", "label", "source", "so
 CORE = (*CONTRACT, "audio", "image", "source_id", "record_hash")
 TEXT_NAMES = ("prompt", "text", "content", "description", "sentence", "input", "utterance")
 LABEL_NAMES = ("label", "y", "target", "labels", "winner_name", "human_label", "final_label", "auto_label", "class", "category")
+AUDIO_NAMES = ("audio", "audio_path", "audio_url", "speech", "wav")
+IMAGE_NAMES = ("image", "image_url", "img", "photo", "picture")
+ID_NAMES = ("id", "_id", "uuid", "row_id", "pk", "record_id", "sample_id", "annotation_id", "thread_id")
 INSTRUCTIONS = ("text", "instructions", "instruction", "prompt", "input", "question")
 ANSWERS = ("target_text", "outputs", "output", "response", "answer", "completion")
 USER_ROLES = ("user", "human", "question")
@@ -44,8 +47,8 @@ def first_named(columns: list[str], names: tuple[str, ...]) -> str | None:
 
 
 def fill_aliases(df: DataFrame) -> DataFrame:
-    """text and label taken from their other names where the column is absent or has no value at all."""
-    for target, names in (("text", TEXT_NAMES), ("label", LABEL_NAMES)):
+    """text, label, audio and image taken from their other names where the column is absent or has no value at all."""
+    for target, names in (("text", TEXT_NAMES), ("label", LABEL_NAMES), ("audio", AUDIO_NAMES), ("image", IMAGE_NAMES)):
         other = first_named([c for c in df.columns if c != target], names)
         if other is None:
             continue
@@ -69,6 +72,22 @@ def metadata_json(c: Column | str) -> Column:
 
 
 MESSAGES = "array<struct<role string, from string, speaker string, content string, value string, text string>>"
+PARTS = "array<string>"
+
+
+def content_text(c: Column) -> Column:
+    """The text of a turn's content: itself, or, for a list, its parts (strings, or objects with a text) joined by lines."""
+    parts = F.from_json(c, PARTS)
+    said = F.transform(parts, lambda p: F.coalesce(F.get_json_object(p, "$.text"), F.get_json_object(p, "$.content"), F.when(~p.startswith("{"), p)))
+    whole = F.array_join(F.filter(F.transform(said, T.empty_to_null), lambda x: x.isNotNull()), "\n")
+    return T.empty_to_null(F.when(T.strip(c).startswith("[") & parts.isNotNull(), whole).otherwise(c))
+
+
+def literal_json(c: Column) -> Column:
+    """JSON as it is; a chat written as a Python literal, with single quotes and None, as JSON where that makes it valid."""
+    fixed = F.regexp_replace(F.regexp_replace(F.regexp_replace(c, r"\bNone\b", "null"), r"\bTrue\b", "true"), r"\bFalse\b", "false")
+    quoted = F.regexp_replace(fixed, r"(?<=[\[{,:]\s{0,3})'((?:[^'\\\\]|\\\\.)*)'(?=\s{0,3}[\]},:])", '"$1"')
+    return F.when(F.try_parse_json(c).isNotNull(), c).when(F.try_parse_json(quoted).isNotNull(), quoted).otherwise(c)
 
 
 def chat_texts(messages: Column) -> Column:
@@ -76,10 +95,11 @@ def chat_texts(messages: Column) -> Column:
 
     ``messages`` is a JSON string of turns. Turns of other roles are read over but make the chat a known one.
     """
+    messages = literal_json(messages)
     blank = T.missing(messages) | F.lower(T.strip(messages)).isin("null", "none", "[]", "{}")
     turns = F.from_json(messages, MESSAGES)
     role = lambda t: F.lower(T.strip(F.coalesce(t["role"], t["from"], t["speaker"])))
-    body = lambda t: T.empty_to_null(F.coalesce(t["content"], t["value"], t["text"]))
+    body = lambda t: content_text(F.coalesce(t["content"], t["value"], t["text"]))
     said = lambda roles: F.array_join(F.transform(F.filter(turns, lambda t: role(t).isin(*roles) & body(t).isNotNull()), body), "\n\n")
     user, assistant = T.empty_to_null(said(USER_ROLES)), T.empty_to_null(said(ASSISTANT_ROLES))
     known = F.exists(turns, lambda t: role(t).isNotNull())
@@ -120,6 +140,42 @@ def route(df: DataFrame) -> DataFrame:
     return df.withColumn("__routed", out).withColumns({"text": F.col("__routed.text"), "target_text": F.col("__routed.target_text"), "drop_reason": F.col("__routed.drop_reason")}).drop("__routed")
 
 
+def raw_metadata(df: DataFrame, fields: tuple[str, ...] = ("messages", *INSTRUCTIONS[1:], *ANSWERS[1:])) -> DataFrame:
+    """Raw fields moved into metadata under ``raw_`` names, where they have a value; keys that metadata has already stay."""
+    have = [c for c in fields if c in df.columns]
+    if not have:
+        return df
+    types = dict(df.dtypes)
+    values = [F.to_json(c) if types[c].startswith(("array", "map", "struct")) else T.empty_to_null(F.col(c).cast("string")) for c in have]
+    patch = F.map_filter(F.map_from_arrays(F.array(*[F.lit(f"raw_{c}") for c in have]), F.array(*values)), lambda k, v: v.isNotNull())
+    return df.withColumn("metadata", patched(F.col("metadata") if "metadata" in df.columns else F.lit("{}"), patch)).drop(*[c for c in have if c != "text"])
+
+
+def patched(metadata: Column, patch: Column) -> Column:
+    """A metadata object with the patch's entries added; what metadata holds that isn't empty stays."""
+    base = metadata_json(metadata)
+    new = F.map_filter(patch, lambda k, v: F.coalesce(F.get_json_object(base, F.concat(F.lit("$."), k)), F.lit("")) == "")
+    body = F.regexp_replace(F.to_json(new), r"^\{|\}$", "")
+    open_ = F.regexp_replace(T.strip(base), r"\s*\}$", "")
+    return F.when(F.coalesce(F.size(new), F.lit(0)) <= 0, base).otherwise(F.concat(open_, F.when(T.strip(base).rlike(r"^\{\s*\}$"), "").otherwise(","), body, F.lit("}")))
+
+
+def source_link(url: Column, repo: Column, endpoint: Column, kind: Column, dataset: Column) -> Column:
+    """The address that names a source: its URL, repository or endpoint, else the page of its data set."""
+    hub = F.when(kind == "hf_dataset", F.concat(F.lit("https://huggingface.co/datasets/"), dataset)).when(kind == "kaggle", F.concat(F.lit("https://www.kaggle.com/datasets/"), dataset))
+    return F.coalesce(T.empty_to_null(url), T.empty_to_null(repo), T.empty_to_null(endpoint), hub)
+
+
+def single(spark, record: dict) -> tuple[str | None, str | None]:
+    """(text, target_text) of one record by the rules of ``route``."""
+    import json
+
+    row = {k: json.dumps(v) if isinstance(v, (list, dict)) else v for k, v in record.items()}
+    schema = ", ".join(f"`{k}` string" for k in row) or "text string"
+    got = route(spark.createDataFrame([tuple(None if v is None else str(v) for v in row.values()) or (None,)], schema)).first()
+    return got["text"], got["target_text"]
+
+
 def drop_counts(routed: DataFrame) -> DataFrame:
     """(reason, n): rows that routing or a blank text drops."""
     reason = F.coalesce("drop_reason", F.when(T.missing("text"), "missing_text"))
@@ -128,7 +184,7 @@ def drop_counts(routed: DataFrame) -> DataFrame:
 
 def with_ids(df: DataFrame, prefix: str) -> DataFrame:
     """A string id: the source's own, else a hash of the row under the prefix."""
-    own = next((c for c in ("id", "record_id", "sample_id", "row_id") if c in df.columns), None)
+    own = "id" if "id" in df.columns else first_named(df.columns, ID_NAMES)
     made = F.concat(F.lit(f"{prefix}_"), F.hex(F.xxhash64(*[F.col(c).cast("string") for c in df.columns])))
     return df.withColumn("id", F.coalesce(F.col(own).cast("string"), made) if own else made)
 
@@ -145,7 +201,7 @@ def normalize(df: DataFrame, spec: dict) -> DataFrame:
     df = map_fields(df, spec.get("field_map"), spec.get("label_map"))
     df = df.withColumns({k: v for k, v in add.items() if k not in df.columns})
     df = df.withColumns({c: F.lit(None).cast("string") for c in ("title", "body") if c not in df.columns})
-    df = route(fill_aliases(df)).where("drop_reason is null").drop("drop_reason", "messages")
+    df = raw_metadata(route(fill_aliases(df)).where("drop_reason is null").drop("drop_reason"))
     df = fill_from_title_body(df).where(~T.missing("text"))
     df = with_ids(df, spec.get("id") or "row")
     if "metadata" in df.columns:

@@ -16,7 +16,7 @@ MIME = {"text/csv": "csv", "application/json": "json", "application/x-ndjson": "
 FOLDERS = ("data", "dataset", "datasets", "raw", "processed")
 SPLITS = ("train", "test", "sample")
 NAMES = ("data", "dataset", "records", "matches", "samples", "train", "test")
-BAD = ("readme", "license", "copying", "schema", "dictionary", "metadata", "changelog", "contributing", "notice", "sample_submission")
+BAD = ("readme", "license", "copying", "schema", "dictionary", "metadata", "changelog", "contributing", "notice", "sample_submission", "__macosx")
 WEIGHTS = {".parquet": 16, ".csv": 14, ".jsonl": 13, ".tsv": 10, ".xlsx": 9, ".xls": 7, ".json": 5}
 TINY, SMALL = 384, 2048
 
