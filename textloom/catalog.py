@@ -220,6 +220,107 @@ def dense_row_ids(spark, d):
     return repair.with_row_ids(_t(spark, d, "merged_dataset").select("row_id"), ["row_id"])
 
 
+# ---- the quality stage
+
+
+def _metrics_sql(t: str, cols: list[str], texts: list[str], key: str, least: int = 15) -> str:
+    """The 16 metrics of a table of row_id and strings, as (metric, v); near-duplicates and languages are off."""
+    some = " or ".join(_missing(c) for c in cols)
+    n = {c: f"length({_strip(f'coalesce({c}, chr(32))')})" for c in texts}
+    blank = "(" + " or ".join(f"{n[c]} = 0" for c in texts) + ")"
+    short = "(" + " or ".join(f"{n[c]} between 1 and {least - 1}" for c in texts) + ")"
+    pii = "(" + " or ".join(f"regexp_matches(coalesce({c}, ''), '{p}')" for c in texts for p in PII_SQL.values()) + ")"
+    words = lambda c: f"case when {_strip(f'coalesce({c}, chr(32))')} = '' then 0 else len(regexp_split_to_array({_strip(c)}, '@WS+')) end"
+    feats = ["row_id::double"] + [f"length(coalesce({c}, ''))::double" for c in texts] + [f"({words(c)})::double" for c in texts]
+    f = f"(select " + ", ".join(f"{x} as f{i}" for i, x in enumerate(feats)) + f" from {t})"
+    stats = "(select " + ", ".join(f"quantile_cont(f{i}, 0.25) as a{i}, quantile_cont(f{i}, 0.75) as b{i}, avg(f{i}) as m{i}, stddev_pop(f{i}) as s{i}" for i in range(len(feats))) + f" from {f})"
+    iqr = " or ".join(f"f{i} < a{i} - 1.5 * (b{i} - a{i}) or f{i} > b{i} + 1.5 * (b{i} - a{i})" for i in range(len(feats)))
+    z = " or ".join(f"s{i} > 0 and (f{i} < m{i} - 3 * s{i} or f{i} > m{i} + 3 * s{i})" for i in range(len(feats)))
+    extra = lambda k: f"(select count(*) - count(distinct coalesce('v' || {k}, 'n')) from {t})"
+    whole = "concat_ws(chr(31), " + ", ".join(f"coalesce('v' || {c}, 'n')" for c in cols) + ")"
+    count = lambda where: f"(select count(*) from {t} where {where})"
+    values = {
+        "rows": count("true"), "total_missing_cells": "(select coalesce(sum(" + " + ".join(f"({_missing(c)})::int" for c in cols) + f"), 0) from {t})", "rows_with_any_missing": count(some),
+        "full_duplicates": extra(whole), "subset_duplicates": extra("row_id"), "normalized_text_duplicates": extra(_norm(key)), "outlier_rows_any_iqr": f"(select count(*) from {f}, {stats} where {iqr})",
+        "outlier_rows_any_zscore": f"(select count(*) from {f}, {stats} where {z})", "class_max_min_ratio": f"(select round(max(c) / min(c), 4) from (select count(*) as c from {t} where not {_missing('label')} group by label))",
+        "text_empty_or_short_rows": count(f"{blank} or {short}"), "text_any_blank_rows": count(blank), "text_any_short_rows": count(short), "text_pii_rows_flagged": count(pii),
+        "text_near_duplicate_rows_flagged": "0", "text_language_mismatch_rows": "0", "text_exact_duplicate_rows_droppable": extra("text"),
+    }
+    return " union all ".join(f"select '{k}' as metric, ({v})::double as v" for k, v in values.items())
+
+
+QUALITY_COLUMNS = ["text", "label"]
+QUALITY_CONFIG = {"critical_text_columns": ["text"], "normalized_text_columns": ["text"]}
+QUALITY_PLAN = {
+    "missing": {"per_column": {"text": "drop_rows"}, "default_categorical": "mode"},
+    "duplicates": {"action": "drop", "subset": ["normalized_text"]},
+    "outliers": {"default": {"strategy": "remove_iqr"}, "columns": ["char_len::text"]},
+    "redact_basic_pii": True,
+}
+_REDACTED = "regexp_replace(regexp_replace(regexp_replace(text, '" + PII_SQL["email"] + "', '[REDACTED_EMAIL]', 'g'), '" + PII_SQL["phone"].replace("(?:$|", "($|") + r"', '[REDACTED_PHONE]\1', 'g'), '(^|[^A-Za-z0-9._%+\-])@[A-Za-z0-9_]{2,32}\b', '\1[REDACTED_HANDLE]', 'g')"
+QUALITY_SQL = (
+    f"b as (select row_id, text, label from merged_dataset), n as (select row_id, case when {_missing('text')} then null else text end as text, case when {_missing('label')} then null else label end as label from b), "
+    "md as (select label as m from n where label is not null group by 1 order by count(*) desc, 1 limit 1), i as (select row_id, text, coalesce(label, m) as label from n, md where text is not null), "
+    f"k as (select min(row_id) as row_id from i group by {_norm('text')}), d as (select i.* from i join k using (row_id)), "
+    "q as (select quantile_cont(length(text)::double, 0.25) as qa, quantile_cont(length(text)::double, 0.75) as qb from d), o as (select d.* from d, q where length(text) between qa - 1.5 * (qb - qa) and qb + 1.5 * (qb - qa)), "
+    f"x as (select row_id, {_REDACTED} as text, label from o)"
+)
+
+
+@query(
+    f"with {QUALITY_SQL}, mb as ({_metrics_sql('b', QUALITY_COLUMNS, ['text'], 'text')}), mx as ({_metrics_sql('x', QUALITY_COLUMNS, ['text'], 'text')}) "
+    "select metric, mb.v as before, mx.v as after, round(mx.v - mb.v, 4) as delta from mb join mx using (metric)"
+)
+def quality_compare(spark, d):
+    q = quality.Quality(QUALITY_CONFIG)
+    before = _t(spark, d, "merged_dataset").select("row_id", "text", "label")
+    # the label's lengths are left out by naming the text alone
+    q.policy.derived = lambda cols: ["char_len::text", "word_len::text"]
+    return q.compare(before, q.fix(before, QUALITY_PLAN)[0])
+
+
+@query(f"with {QUALITY_SQL} select row_id, sha256(text) as digest, label from x")
+def quality_fixed(spark, d):
+    q = quality.Quality(QUALITY_CONFIG)
+    out, _ = q.fix(_t(spark, d, "merged_dataset").select("row_id", "text", "label"), QUALITY_PLAN)
+    return out.select("row_id", F.sha2("text", 256).alias("digest"), "label")
+
+
+@query(
+    f"with {QUALITY_SQL} select 'changed' as action, 'blank_text' as issue_type, 'text' as target, count(*) as n from b where text is not null and {_missing('text')} union all select 'changed', 'blank_text', 'label', count(*) from b where label is not null and {_missing('label')} "
+    "union all select 'removed', 'missing', 'text', count(*) from n where text is null union all select 'changed', 'missing', 'label', count(*) from n where label is null union all select 'removed', 'duplicates', 'normalized_text', (select count(*) from i) - (select count(*) from d) "
+    "union all select 'removed', 'outliers', 'char_len::text', (select count(*) from d) - (select count(*) from o) union all select 'changed', 'pii', 'text', count(*) from o where " + " or ".join(f"regexp_matches(text, '{p}')" for p in PII_SQL.values())
+)
+def quality_audit(spark, d):
+    q = quality.Quality(QUALITY_CONFIG)
+    _, actions = q.fix(_t(spark, d, "merged_dataset").select("row_id", "text", "label"), QUALITY_PLAN)
+    counts = actions.groupBy("action", "issue_type", "target").agg(F.count(F.lit(1)).alias("n"))
+    every = [("changed", "blank_text", "text"), ("changed", "blank_text", "label"), ("removed", "missing", "text"), ("changed", "missing", "label"), ("removed", "duplicates", "normalized_text"), ("removed", "outliers", "char_len::text"), ("changed", "pii", "text")]
+    keys = spark.createDataFrame(every, "action string, issue_type string, target string")
+    return keys.join(counts, ["action", "issue_type", "target"], "left").fillna(0, ["n"])
+
+
+def _lengths_sql(c: str, table: str) -> str:
+    words = f"case when {_strip(f'coalesce({c}, chr(32))')} = '' then 0 else len(regexp_split_to_array({_strip(c)}, '@WS+')) end"
+    body = _outlier_sql("features", ["chars", "words"]).replace("'chars' as feature", f"'char_len::{c}' as feature").replace("'words' as feature", f"'word_len::{c}' as feature")
+    return f"with features as (select length(coalesce({c}, ''))::double as chars, ({words})::double as words from {table}), " + body.removeprefix("with ")
+
+
+@query(_lengths_sql("text", "merged_dataset"))
+def outliers_lengths(spark, d):
+    names = ["char_len::text", "word_len::text"]
+    f = quality.number_features(_t(spark, d, "merged_dataset").select("text"), names)
+    got = profile.outliers(f.select(*[F.col(f"__f{i}").alias(f"f{i}") for i in range(2)]), ["f0", "f1"])
+    return got.withColumn("feature", F.coalesce(F.try_element_at(F.create_map(F.lit("f0"), F.lit(names[0]), F.lit("f1"), F.lit(names[1])), F.col("feature")), F.col("feature")))
+
+
+@query(f"select row_id, try_cast(case when regexp_matches({_strip('row_id::varchar')}, '^[+-]?[0-9]+$') then {_strip('row_id::varchar')} end as double) as number, case when len(map_keys(class_scores)) > 0 then len(map_keys(class_scores)) end as classes from annotations")
+def prepared_cells(spark, d):
+    a = _t(spark, d, "annotations").select("annotation_id", F.col("row_id").cast("string").alias("row_text"), "class_scores", "row_id")
+    out = quality.Quality(order="annotation_id").prepare(a)
+    return out.select("row_id", F.col("row_text").alias("number"), F.size(F.from_json("class_scores", "map<string,double>")).alias("classes"))
+
+
 # ---- schema and merge
 
 
@@ -383,8 +484,8 @@ def candidate_ranking(spark, d):
     "v as (select *, row_number() over (partition by tier order by rank) as n from t), "
     "o as (select 0 as no, 'balanced' as plan, candidate_id, lower(name) as name, rank, case when n = 1 and tier = 'open' then 1 when n = 1 and tier = 'api' then 2 when n = 1 and tier = 'scrape' then 3 when rank <= 3 then 3 + rank end as turn from v "
     "union all select 1, 'open', candidate_id, lower(name), rank, case when tier = 'open' and n <= 2 then n when tier = 'api' and n = 1 then 3 end from v union all select 2, 'top', candidate_id, lower(name), rank, case when rank <= 3 then rank end from v), "
-    "d as (select *, row_number() over (partition by no, name order by turn) as again from o where turn is not null), e as (select *, row_number() over (partition by no order by turn) as at from d where again = 1), "
-    "f as (select no, plan, list(candidate_id order by rank) as those from e where at <= 3 group by 1, 2), w as (select *, row_number() over (partition by those order by no) as first from f) "
+    "d as (select *, row_number() over (partition by no, name order by turn) as again from o where turn is not null), e as (select *, row_number() over (partition by no order by turn) as spot from d where again = 1), "
+    "f as (select no, plan, list(candidate_id order by rank) as those from e where spot <= 3 group by 1, 2), w as (select *, row_number() over (partition by those order by no) as first from f) "
     "select plan, unnest(range(1, len(those) + 1)) as position, unnest(those) as candidate_id from w where first = 1"
 )
 def candidate_plans(spark, d):
@@ -520,6 +621,26 @@ def macro_metrics(spark, d):
     return active.metrics(p)
 
 
+@query("with p as (select lower(trim(a.auto_label)) as pred, lower(trim(h.human_label)) as label from annotations a join human_labels h on a.annotation_id = h.annotation_id where trim(coalesce(h.human_label, '')) <> '' and trim(coalesce(a.auto_label, '')) <> ''), "
+       "l as (select label, count(*) as support, sum((label = pred)::int) as hit from p group by 1), q as (select pred as label, count(*) as predicted from p group by 1), "
+       "k as (select label, coalesce(support, 0)::bigint as support, case when coalesce(predicted, 0) = 0 then 0 else coalesce(hit, 0) / predicted end as p, case when coalesce(support, 0) = 0 then 0 else coalesce(hit, 0) / support end as r from l full join q using (label)) "
+       "select label, round(p, 6)::double as precision, round(r, 6)::double as recall, round(case when p + r = 0 then 0 else 2 * p * r / (p + r) end, 6)::double as f1, support from k")
+def class_report(spark, d):
+    j = _t(spark, d, "annotations").join(_t(spark, d, "human_labels"), "annotation_id")
+    p = j.select(F.lower(F.trim("human_label")).alias("label"), F.lower(F.trim("auto_label")).alias("pred")).where("coalesce(label, '') <> '' and coalesce(pred, '') <> ''")
+    return active.class_report(p)
+
+
+@query("with p as (select ls_annotation_id as row_id, case when lower(trim(h.human_label)) like '%emergency%' then 'red' else 'other' end as label, case when lower(trim(a.auto_label)) like '%emergency%' then 'red' else 'other' end as pred from annotations a join human_labels h on a.annotation_id = h.annotation_id), "
+       "f as (select label, min(row_id) as at_row from p group by 1), pos as (select label as c from f order by at_row desc limit 1), "
+       "n as (select count(*) as n, avg((label = pred)::int) as acc, count(*) filter (where label = c and pred = c) as tp, count(*) filter (where label = c) as sup, count(*) filter (where pred = c) as prd from p, pos) "
+       "select round(acc, 6)::double as accuracy, round(case when sup + prd = 0 then 0 else 2.0 * tp / (sup + prd) end, 6)::double as f1, 'binary' as f1_kind, n from n")
+def binary_metrics(spark, d):
+    red = lambda c: F.when(F.lower(F.trim(c)).contains("emergency"), "red").otherwise("other")
+    j = _t(spark, d, "annotations").select("annotation_id", "auto_label").join(_t(spark, d, "human_labels").select("annotation_id", "human_label", "ls_annotation_id"), "annotation_id")
+    return active.evaluate(j.select(F.col("ls_annotation_id").alias("row_id"), red("human_label").alias("label"), red("auto_label").alias("pred")))
+
+
 @query("select annotation_id, round(confidence, 6) as confidence, round(s[1] - s[2], 6) as gap from (select distinct annotation_id, confidence, list_reverse_sort(map_values(class_scores)) as s from annotations)")
 def score_margins(spark, d):
     df = _t(spark, d, "annotations").select("annotation_id", "confidence", F.map_values("class_scores").alias("p"))
