@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import text as T
 from textloom.functions import urls as U
-from textloom.operators import active, annotate, discovery, eda, merge, neardup, profile, quality, repair, schema
+from textloom.operators import active, annotate, checks, discovery, eda, merge, neardup, planning, profile, quality, repair, schema
 from textloom.session import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -492,6 +492,41 @@ def candidate_plans(spark, d):
     return discovery.plans(discovery.dedupe(_candidates(spark, d)))
 
 
+@query(
+    f"with u as (select row_id, coalesce(source_url, '') as u, coalesce(title, '') as t from merged_dataset), h as (select *, lower(regexp_extract(u, '{URL_RE}', 2)) as host, lower(regexp_extract(u, '{URL_RE}', 3)) as path from u) "
+    "select row_id, round(least(1.0, 0.2 + case when regexp_matches(u, '" + planning.FORUM + "') or regexp_matches(t, '" + planning.FORUM + "') then 0.5 else 0 end + case when "
+    + " or ".join(f"contains(lower(u || ' ' || t || ' '), '{w}')" for w in planning.FORUM_WORDS) + " then 0.15 else 0 end), 4)::double as score, "
+    + "(" + " or ".join([f"starts_with(host, '{d}')" for d in planning.DENIED_HOSTS] + [f"contains(path, '{p}')" for p in planning.DENIED_PATHS] + ["contains(host, 'forum')"]) + ") as denied from h"
+)
+def forum_pages(spark, d):
+    df = _t(spark, d, "merged_dataset")
+    return df.select("row_id", planning.forum_score("source_url", "title").alias("score"), planning.denied("source_url", ["forum"]).alias("denied"))
+
+
+@query(
+    "with w as (select profile_id, topic, list_filter(regexp_extract_all(lower(coalesce(topic, '')), '[a-zA-Zа-яА-Я0-9_+-]{3,}'), lambda x: not list_contains([" + ", ".join(f"'{x}'" for x in planning.TOPIC_STOPWORDS) + "], x)) as ws from topic_profiles), "
+    "t as (select profile_id, topic, list_filter(ws, lambda x, i: list_position(ws, x) = i) as ts from w) select profile_id, array_to_string(ts[1:6], ' ') as terms, "
+    "case when regexp_matches(lower(topic), 'text|nlp| caption|transcript') then 'text' when regexp_matches(lower(topic), 'image|photo|vision') then 'image' when regexp_matches(lower(topic), 'audio|speech|sound') then 'audio' when contains(lower(topic), 'video') then 'video' else 'tabular' end as modality, "
+    "case when regexp_matches(lower(topic), 'казах|kazakh') then 'kazakh' when regexp_matches(lower(topic), ' russian| rus |русск') then 'russian' when regexp_matches(lower(topic), 'french| german|spanish |italian|mandarin|chinese text') then 'multilingual' else 'english' end as language from t"
+)
+def topic_facets(spark, d):
+    p = _t(spark, d, "topic_profiles")
+    return p.select("profile_id", F.array_join(planning.terms("topic"), " ").alias("terms"), planning.topic_modality("topic").alias("modality"), planning.topic_language("topic").alias("language"))
+
+
+@query(
+    f"select unnest(['rows', 'null_ids', 'null_texts', 'blank_texts', 'null_labels', 'usable_labels', 'repeated_ids', 'labels']) as check, unnest([count(*), count(*) filter (where id is null), count(*) filter (where text is null), count(*) filter (where text is not null and {_missing('text')}), "
+    f"count(*) filter (where label is null), count(*) filter (where not {_missing('label')} and lower({_strip('label')}) <> 'nan'), count(id) - count(distinct id), count(distinct case when not {_missing('label')} and lower({_strip('label')}) <> 'nan' then {_strip('label')} end)]) as n from merged_dataset"
+)
+def table_facts(spark, d):
+    return checks.facts(_t(spark, d, "merged_dataset"))
+
+
+@query("select row_id, case when length(x) <= 40 then x when contains(substr(x, 1, 40), ' ') then regexp_replace(substr(x, 1, 40), ' [^ ]*$', '') else substr(x, 1, 40) end as head from (select row_id, trim(regexp_replace(title, '\\s+', ' ', 'g')) as x from merged_dataset)")
+def title_heads(spark, d):
+    return _t(spark, d, "merged_dataset").select("row_id", planning.at_word_column("title", 40).alias("head"))
+
+
 # ---- annotation
 
 
