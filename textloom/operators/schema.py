@@ -154,7 +154,7 @@ def raw_metadata(df: DataFrame, fields: tuple[str, ...] = ("messages", *INSTRUCT
 def patched(metadata: Column, patch: Column) -> Column:
     """A metadata object with the patch's entries added; what metadata holds that isn't empty stays."""
     base = metadata_json(metadata)
-    new = F.map_filter(patch, lambda k, v: F.coalesce(F.get_json_object(base, F.concat(F.lit("$."), k)), F.lit("")) == "")
+    new = F.map_filter(patch, lambda k, v: F.coalesce(F.call_function("get_json_object", base, F.concat(F.lit("$."), k)), F.lit("")) == "")
     body = F.regexp_replace(F.to_json(new), r"^\{|\}$", "")
     open_ = F.regexp_replace(T.strip(base), r"\s*\}$", "")
     return F.when(F.coalesce(F.size(new), F.lit(0)) <= 0, base).otherwise(F.concat(open_, F.when(T.strip(base).rlike(r"^\{\s*\}$"), "").otherwise(","), body, F.lit("}")))

@@ -98,3 +98,11 @@ def approve(runs: Runs, state: RunState, stage: str, artifacts: dict[str, str] |
     state.stages[stage].status, state.stages[stage].artifacts = "completed", artifacts or {}
     runs.save(state)
     return state
+
+
+def reset(runs: Runs, state: RunState, stage: str) -> RunState:
+    """A stage and all after it count as not run."""
+    for name in STAGES[STAGES.index(stage) :]:
+        state.stages[name] = StageState()
+    runs.save(state)
+    return state
