@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import bagminhash, boilerplate, fieldcodes, langid, mixing, overlap, packing, pii, readability
+from textloom.llm import bagminhash, boilerplate, fieldcodes, langid, mixing, overlap, packing, pii, readability, sql
 from textloom.session import ship
 
 
@@ -94,9 +94,13 @@ def p9_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readability.grades(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "reading_labels"))
 
 
+def p9_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readability.by_source(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "reading_labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k[:1] == "p" and k[1:2].isdigit() and callable(v)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(sql.ORACLES)

@@ -336,6 +336,8 @@ def train(documents: DataFrame, labels: DataFrame) -> Grader:
     rated = np.clip(np.round(y), 1, 3)
     band = 1 + (oof >= cuts[0]) + (oof >= cuts[1])
     report = {"documents": len(y), "rmse": float(np.sqrt(((oof - y) ** 2).mean())), "agreement": float((band == rated).mean()), "by_source": {s: float((band == rated)[(got["source"] == s).to_numpy()].mean()) for s in sorted(set(got["source"]))}}
+    of = {s: (got["source"] == s).to_numpy() for s in report["by_source"]}
+    report |= {"documents_of": {s: int(m.sum()) for s, m in of.items()}, "rmse_of": {s: float(np.sqrt(((oof - y)[m] ** 2).mean())) for s, m in of.items()}}
     return Grader(logf, grades_of_words(sets, y), trees, cuts, report)
 
 
@@ -374,3 +376,15 @@ def grades(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, band, grade) of every document; null for texts without words."""
     grader = train(documents, labels)
     return spread(documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")).mapInArrow(_grade(grader, 1, True), "doc_id bigint, band int, grade double")
+
+
+def by_source(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """(source, documents, agreement, rmse): how the bands of left-out sources agree with their raters; source ``*`` for all.
+
+    Documents are labelled ones, at most TRAIN of them, each graded by a model that saw none of its fold's sources.
+    """
+    report = train(documents, labels).report
+    # too few labels make no model, and nothing to compare
+    rows = [(s, report["documents_of"][s], float(a), report["rmse_of"][s]) for s, a in report.get("by_source", {}).items()]
+    rows.append(("*", report["documents"], report.get("agreement"), report.get("rmse")))
+    return documents.sparkSession.createDataFrame(rows, "source string, documents bigint, agreement double, rmse double")
