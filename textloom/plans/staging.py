@@ -35,7 +35,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back; later reads prune columns."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/textloom/{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
+    # hashed keys fill fewer bytes than their type has; this codec finds that
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
