@@ -202,7 +202,8 @@ def fix_remove_zscore(spark, d):
 
 
 @query(f"with a as (select count(*) filter (where {_missing('text')}) as bt, count(*) filter (where {_missing('label')}) as bl, count(*) filter (where {_missing('text')} or {_missing('label')}) as ba from merged_dataset), "
-       f"k as (select m.* from merged_dataset m where not {_missing('text')}), c as (select 0::bigint as x1, 0::bigint as x2, 0::bigint as x3) "
+       f"md as (select label as m from merged_dataset where not {_missing('label')} group by 1 order by count(*) desc, 1 limit 1), k as (select text, case when {_missing('label')} then (select m from md) else label end as label from merged_dataset where not {_missing('text')}), "
+       f"c as (select count(*) filter (where {_missing('text')}) as x1, count(*) filter (where {_missing('label')}) as x2, count(*) filter (where {_missing('text')} or {_missing('label')}) as x3 from k) "
        "select unnest(['row_id','text','label','*']) as column_name, unnest([0, bt, bl, ba])::bigint as before, unnest([0, x1, x2, x3])::bigint as after, unnest([0, x1 - bt, x2 - bl, x3 - ba])::bigint as delta from a, c")
 def fix_compare(spark, d):
     before = _t(spark, d, "merged_dataset").select("row_id", "text", "label")

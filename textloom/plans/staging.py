@@ -15,6 +15,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
+_USED: dict[str, str] = {}
+#: Bytes that a partition of a large shuffle should hold.
+PARTITION = 128 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,12 +37,37 @@ def shared_dir(spark: SparkSession) -> str:
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back; later reads prune columns."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/textloom/{uuid.uuid4().hex}/{name}"
+    app = spark.sparkContext.applicationId
+    home = f"{shared_dir(spark)}/textloom/{app}"
+    if app not in _USED:
+        _USED[app] = home
+        atexit.register(clear, spark)
+    path = f"{home}/{uuid.uuid4().hex}/{name}"
     # hashed keys fill fewer bytes than their type has; this codec finds that
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear(spark: SparkSession) -> None:
+    """Delete the application's staged tables; results that still read them must have been written before.
+
+    Runs by itself when the driver ends, on clusters too; a driver that is killed leaves its folder behind.
+    """
+    try:
+        home = _USED.pop(spark.sparkContext.applicationId, None)
+        if home:
+            path = spark._jvm.org.apache.hadoop.fs.Path(home)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # the session has ended before
+        return
+
+
+def sized(df: DataFrame, size: int, *keys: str) -> DataFrame:
+    """``df`` in as many partitions by its keys as ``size`` bytes fill, where that is more than a shuffle has anyway."""
+    n = -(-size // PARTITION)
+    return df.repartition(n, *keys) if n > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Spread a scan of fewer partitions than cores over all cores; larger inputs stay as they are."""
     want = df.sparkSession.sparkContext.defaultParallelism
