@@ -204,3 +204,12 @@ def test_evenly_edited_copies_overlap(spark, every):
         assert bm.jaccard(bm.word_runs(base, 3), bm.word_runs(new, 3)) >= 0.5
         rows += [(2 * k, " ".join(base), "train", "a"), (2 * k + 1, " ".join(new), "test", "a")]
     assert {tuple(r) for r in overlap.found(frame(spark, rows)).collect()} == {(2 * k, 2 * k + 1) for k in range(20)}
+
+
+def test_pairs_are_the_same_in_larger_shuffles(spark, corpus, monkeypatch):
+    from textloom.plans import staging
+
+    near, over = (sorted(map(tuple, f(frame(spark, corpus)).collect())) for f in (bm.found, overlap.found))
+    monkeypatch.setattr(staging, "PARTITION", 20_000)
+    assert sorted(map(tuple, bm.found(frame(spark, corpus)).collect())) == near
+    assert sorted(map(tuple, overlap.found(frame(spark, corpus)).collect())) == over

@@ -128,3 +128,17 @@ def test_languages_that_no_source_declares(spark):
     assert {rec[100 + i]["lang"] for i in range(30)} == {"es"}
     assert rec[0]["lang"] == "en" and rec[50]["lang"] == "fr"
     assert rec[200]["lang"] == "und" and rec[200]["confidence"] == 0.0
+
+
+def test_pii_is_the_same_when_contexts_are_joined(spark, monkeypatch):
+    rows = []
+    for i in range(40):
+        name = ["Peter", "Anna", "Tom", "Grace"][i % 4] + " " + ["Zelmond", "Orvale", "Kessoux", "Marbury"][(i // 4) % 4]
+        rows.append((i, f"It hurts. My name is {name} and I am new. Call me any time on +44 7700 900 {100 + i}, please. I live at {i + 1} Mill {'Road' if i % 2 else 'Crescent'}, Wexcombe now.", f"Regards. My name is {name}" if i % 3 else None, None, "s", "s"))
+    rows += [(100, "My name is Quorra Zyx and I am new. Call me any time on 0171 39200 08, please.", "x_y [at] mail (dot) example", None, "s", "s"), (101, None, "", None, None, None)]
+    df = merged(spark, rows)
+    sent = sorted(map(tuple, pii.found(df).collect()))
+    clean = sorted((r["row_id"], r["text"] or "", r["body"] or "") for r in pii.redacted(df).collect())
+    monkeypatch.setattr(pii, "SENT", 0)
+    assert len(sent) > 100 and sorted(map(tuple, pii.found(df).collect())) == sent
+    assert sorted((r["row_id"], r["text"] or "", r["body"] or "") for r in pii.redacted(df).collect()) == clean

@@ -34,7 +34,7 @@ from textloom.llm import fieldcodes
 from textloom.llm.components import components
 from textloom.llm.fieldcodes import Encoder, halves
 from textloom.llm.normal import normal, words
-from textloom.plans.staging import spread, stage
+from textloom.plans.staging import sized, spread, stage
 
 #: Shape of the signature: CUT x ROWS positions. Each stride makes CUT bands of positions so far apart.
 CUT, ROWS = 50, 5
@@ -425,7 +425,8 @@ class NearDuplicates:
         """(bucket, row_id) of representatives: a class of copies counts once in each of its buckets."""
         held = self.signed.where("bands is not null")
         extra = self.keyed.where("s1 is not null").select("row_id").join(self.classes.select(F.col("rep").alias("row_id")), "row_id", "left_anti")
-        return without(held, extra).select("row_id", F.explode("bands").alias("bucket"))
+        # about 24 bytes for each bucket of a text
+        return sized(without(held, extra).select("row_id", F.explode("bands").alias("bucket")), 24 * BANDS * self.classes.count(), "bucket")
 
     def close(self, candidates: DataFrame) -> DataFrame:
         """The (a, b) of ``candidates`` that agree by sketch, and then by text."""

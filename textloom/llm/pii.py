@@ -342,24 +342,87 @@ class Model:
         return {"ctx": self.ctx, "inst": self.inst, "common": self.common, "street_ends": self.street_ends, "_ac": None}
 
 
-def fit(df: DataFrame, text: str = "text", body: str | None = "body") -> Model:
-    """The model of all texts of ``df``."""
+#: Trusted contexts and instances (about 100 bytes each) that may be sent to all workers; beyond, texts meet their own in a shuffle.
+SENT = 200_000
+
+
+def trusted(df: DataFrame, text: str = "text", body: str | None = "body") -> tuple[DataFrame, set[str]]:
+    """(key, type, score) of all trusted contexts (``c:``) and instances (``i:``) of the texts of ``df``; and the common words."""
     cols = [F.col(text).alias("a"), (F.col(body) if body else F.lit(None).cast("string")).alias("b")]
     raw = spread(df.select(*cols)).mapInArrow(_edges, "kind string, ctx string, inst string, n bigint, np bigint, ni bigint")
     edges = stage(raw.groupBy("kind", "ctx", "inst").agg(F.sum("n").alias("n"), F.sum("np").alias("np"), F.sum("ni").alias("ni")), "edges")
     ctx, insts = score(edges.where("kind <> 'w'"))
-    best_ctx = ctx.where((F.col("conf") >= TRUST) & (F.col("support") >= SUPPORT)).select("type", "ctx", "conf").collect()
-    best_inst = insts.where((F.col("score") >= TRUST) & (F.col("total") >= 2)).select("type", "inst", "score").collect()
+    best_ctx = ctx.where((F.col("conf") >= TRUST) & (F.col("support") >= SUPPORT)).select(F.concat(F.lit("c:"), "ctx").alias("key"), "type", F.col("conf").alias("score"))
+    best_inst = insts.where((F.col("score") >= TRUST) & (F.col("total") >= 2)).select(F.concat(F.lit("i:"), "inst").alias("key"), "type", "score")
+    table = stage(best_ctx.unionByName(best_inst), "trusted")
     counted = F.count_if(F.length("a") > 0) + F.count_if((F.length("b") > 0) & ~F.col("b").eqNullSafe(F.col("a")))
     total = df.select(*cols).select(counted).first()[0]
-    given = {r["inst"] for r in best_inst if r["type"] == "name"}
-    # at most (mean words of a text / COMMON) words reach that share
-    frequent = edges.where((F.col("kind") == "w") & (F.col("n") >= max(5.0, COMMON * total))).select("inst").collect()
-    return Model(
-        {t: {r["ctx"]: r["conf"] for r in best_ctx if r["type"] == t} for t in TYPES},
-        {t: {r["inst"]: r["score"] for r in best_inst if r["type"] == t} for t in TYPES},
-        {r["inst"] for r in frequent} - given - SEED_GIVEN,
-    )
+    # at most (mean words of a text / COMMON) words reach that share, and names among them don't count
+    frequent = edges.where((F.col("kind") == "w") & (F.col("n") >= max(5.0, COMMON * total))).select("inst")
+    given = table.where("type = 'name' and key like 'i:%'").select(F.substring("key", 3, 1 << 20).alias("inst"))
+    return table, {r["inst"] for r in frequent.join(given, "inst", "left_anti").collect()} - SEED_GIVEN
+
+
+def model_of(rows: Iterator[tuple[str, str, float]], common: set[str]) -> Model:
+    """A model of (key, type, score) rows."""
+    ctx: dict[str, dict[str, float]] = {t: {} for t in TYPES}
+    inst: dict[str, dict[str, float]] = {t: {} for t in TYPES}
+    for key, kind, value in rows:
+        (ctx if key.startswith("c:") else inst)[kind][key[2:]] = value
+    return Model(ctx, inst, common)
+
+
+def fit(df: DataFrame, text: str = "text", body: str | None = "body") -> Model:
+    """The model of all texts of ``df`` on the driver; for ``df`` of any size see ``trusted``."""
+    table, common = trusted(df, text, body)
+    return model_of(map(tuple, table.collect()), common)
+
+
+def keys_of(text: str) -> set[str]:
+    """All keys of the trusted table that ``find`` may ask for in a text."""
+    s = fold(text)
+    t = Tokens(s)
+    out = {f"c:{c}" for i in range(len(t.words) + 1) for c in t.contexts(i)}
+    ws = [w for w in t.words if w not in ".!?;"]
+    for n in (1, 2, 3):
+        for i in range(len(ws) - n + 1):
+            gram = " ".join(ws[i : i + n])
+            out |= {f"c:{gram}", f"c:| {gram}"}
+    out |= {f"i:{w}" for w in t.words} | {f"i:{shape(span)}" for _, _, span in numbers(s)}
+    # parts of names, and streets whose kind is the end of a word
+    out |= {f"i:{m.group(1).strip('.')}" for m in _NAME_TOKEN.finditer(s)}
+    return out | {f"i:{'strasse' if m.group(1) == 'str' else m.group(1)}" for w in t.words if (m := SUFFIX.match(w))}
+
+
+def _row_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for start in range(0, whole.num_rows, 200):
+            batch = whole.slice(start, 200)
+            ids, keys = [], []
+            for row, text, body in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                its = (keys_of(text) if text else set()) | (keys_of(body) if body and body != text else set())
+                ids += [row] * len(its)
+                keys += its
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.string())], names=["row_id", "key"])
+
+
+def _applied(df: DataFrame, work: Callable, schema: str) -> DataFrame:
+    """``work`` over all rows with the trusted table: sent whole where it is small, else joined to each row by its own keys."""
+    table, common = trusted(df)
+    rows = _both(df)
+    if table.count() <= SENT:
+        model = model_of(map(tuple, table.collect()), common)
+        return rows.mapInArrow(work(lambda held: model), schema)
+    met = rows.mapInArrow(_row_keys, "row_id bigint, key string").distinct().join(table, "key")
+    held = stage(met.groupBy(F.col("row_id").alias("__r")).agg(F.collect_list(F.struct("key", "type", "score")).alias("held")), "held")
+    every = rows.join(held, rows["row_id"].eqNullSafe(held["__r"]), "left").select("row_id", "text", "body", "held")
+    return every.mapInArrow(work(lambda its: model_of(((x["key"], x["type"], x["score"]) for x in its or ()), common)), schema)
+
+
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """(row_id, text, body, held) of a batch; held is None where the model was sent."""
+    cols = [batch.column(k).to_pylist() for k in range(batch.num_columns)]
+    return zip(*cols, *([[None] * batch.num_rows] if len(cols) == 3 else []))
 
 
 _NAME_TOKEN = re.compile(r"[ ,.:\"'*_>|\-–—]*?([^\W\d_]+(?:-[^\W\d_]+)?\.?)")
@@ -462,11 +525,12 @@ def find(text: str, model: Model) -> list[tuple[int, int, str]]:
     return sorted(out)
 
 
-def _finder(model: Model):
+def _finder(model_for: Callable[[list | None], Model]):
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for row, text, body in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            for row, text, body, held in _rows(batch):
+                model = model_for(held)
                 types = {t for _, _, t in find(text, model)} if text else set()
                 out += [(row, "text", t) for t in sorted(types)]
                 if body:
@@ -483,7 +547,7 @@ def _both(df: DataFrame) -> DataFrame:
 
 def found(df: DataFrame) -> DataFrame:
     """(row_id, field, pii_type): each type found at least once in a field."""
-    return _both(df).mapInArrow(_finder(fit(df)), "row_id bigint, field string, pii_type string")
+    return _applied(df, _finder, "row_id bigint, field string, pii_type string")
 
 
 def redact(text: str | None, model: Model) -> str | None:
@@ -501,15 +565,19 @@ def redact(text: str | None, model: Model) -> str | None:
     return "".join([*out, text[pos:]])
 
 
-def _redactor(model: Model):
+def _redactor(model_for: Callable[[list | None], Model]):
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols = [pa.array([redact(t, model) for t in batch.column(k).to_pylist()], pa.string()) for k in (1, 2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], names=["row_id", "text", "body"])
+            texts, bodies = [], []
+            for _, text, body, held in _rows(batch):
+                model = model_for(held)
+                texts.append(redact(text, model))
+                bodies.append(redact(body, model))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(bodies, pa.string())], names=["row_id", "text", "body"])
 
     return go
 
 
 def redacted(df: DataFrame) -> DataFrame:
     """(row_id, text, body) with placeholders for what was found."""
-    return _both(df).mapInArrow(_redactor(fit(df)), "row_id bigint, text string, body string")
+    return _applied(df, _redactor, "row_id bigint, text string, body string")
