@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from textloom.functions import text as T
 from textloom.operators import neardup, policy, profile, repair
 from textloom.operators.policy import Columns, Policy
+from textloom.plans.staging import stage
 
 #: Rows of an audit, per operation and in all; the caps are its feature, and the removed rows themselves are written whole.
 PER_OPERATION, IN_ALL = 10_000, 50_000
@@ -114,7 +115,7 @@ class Quality:
         out |= {k: dups.get(k, 0) for k in ("full_duplicates", "subset_duplicates", "normalized_text_duplicates", "text_exact_duplicate_rows_droppable")}
         features = p.features(cols)
         if features:
-            f = number_features(df, features).select(*[f"__f{i}" for i in range(len(features))])
+            f = stage(number_features(df, features).select(*[f"__f{i}" for i in range(len(features))]), "features")
             any_row = profile.outliers(f, f.columns).where("feature = '*'").first()
             out |= {"outlier_rows_any_iqr": any_row["iqr_rows"], "outlier_rows_any_zscore": any_row["z_rows"]}
         else:
@@ -141,7 +142,7 @@ class Quality:
         parts = [total, missing]
         features = self.policy.features(cols)
         if features:
-            f = number_features(df, features).select(*[f"__f{i}" for i in range(len(features))])
+            f = stage(number_features(df, features).select(*[f"__f{i}" for i in range(len(features))]), "features")
             names = F.create_map(*[F.lit(x) for i, n in enumerate(features) for x in (f"__f{i}", n)])
             o = profile.outliers(f, f.columns)
             pairs = F.explode(F.create_map(F.lit("iqr_rows"), F.col("iqr_rows").cast("double"), F.lit("z_rows"), F.col("z_rows").cast("double"), F.lit("low"), F.col("low"), F.lit("high"), F.col("high"))).alias("metric", "value")
@@ -217,7 +218,8 @@ class Quality:
         if not ways:
             return df
         names = list(ways)
-        wide = number_features(df, names)
+        # bounds take several passes, which start here and not at the steps before
+        wide = stage(number_features(df, names), "features")
         bounds: dict[str, tuple[float, float] | None] = {}
         for by, of in (("iqr", profile.iqr_bounds), ("zscore", profile.z_bounds)):
             wanted = [f"__f{i}" for i, f in enumerate(names) if ways[f][1] == by]
@@ -286,7 +288,7 @@ class Quality:
 
     def compare(self, before: DataFrame, after: DataFrame) -> DataFrame:
         """(metric, before, after, delta) of the 16 metrics; a ratio without classes is null, and so is its delta."""
-        b, a = self.metrics(before), self.metrics(after)
+        b, a = self.metrics(stage(before, "before")), self.metrics(stage(after, "after"))
         rows = []
         for k in METRICS:
             x, y = (None if v is None else float(v) for v in (b[k], a[k]))
@@ -302,7 +304,6 @@ class Quality:
         """The cleaned table of an approved decision, with report, comparison, audit and removed rows written to ``folder``."""
         if not decision.get("approved"):
             raise ValueError("the decision isn't approved; set approved before cleaning")
-        from textloom.plans.staging import stage
         from textloom.sources import sinks
 
         before = stage(self.prepare(df), "prepared")
