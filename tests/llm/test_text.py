@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from textloom.llm import boilerplate as bp
 from textloom.llm import langid, pii
 
@@ -142,3 +144,16 @@ def test_pii_is_the_same_when_contexts_are_joined(spark, monkeypatch):
     monkeypatch.setattr(pii, "SENT", 0)
     assert len(sent) > 100 and sorted(map(tuple, pii.found(df).collect())) == sent
     assert sorted((r["row_id"], r["text"] or "", r["body"] or "") for r in pii.redacted(df).collect()) == clean
+
+
+def test_profiles_come_from_all_records(spark):
+    rows = [(i, "The pain goes from the neck down to the arm and nothing helps it at night.", "en") for i in range(3000)]
+    fitted = langid.train(spark.createDataFrame(rows, "row_id bigint, text string, declared string"))
+    rare = spark.createDataFrame([*rows, (3000, "Qqqxq qqqxq qqqxq qqqxq qqqxq qqqxq. " * 200, "en")], "row_id bigint, text string, declared string")
+    assert "qqx" not in fitted.ranked["en"]
+    # whatever its row id, the one record that differs counts
+    for k in range(4):
+        got = langid.train(rare.withColumn("row_id", F.col("row_id") * 7 + k))
+        assert "qqx" in got.ranked["en"]
+    spanish = [(4000 + 500 * i, " ".join(ES), None) for i in range(20)] + [(10**6 + i, EN[i % 3], "en") for i in range(40_000)]
+    assert "es" in langid.train(spark.createDataFrame(spanish, "row_id bigint, text string, declared string")).langs

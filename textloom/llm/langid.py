@@ -5,10 +5,11 @@ and short words whole), in order. A segment's n-grams, most frequent first, are
 difference of its ranks, one that the profile lacks costs PROFILE. The language with the least mean cost wins; the
 confidence is 1 - cost / next cost, carried to 0..1.
 
-Profiles are trained here, on records whose source declares the language: at most ROWS records a language, chosen by a
-hash of the row id. As some declarations are wrong, profiles are made again from the sample's sentences that the first
-profiles give to the language. A language that no source declares starts from sentences full of its seed words. A
-segment farther from its language than that language's own sentences comes out as ``und`` with confidence 0.
+Profiles are trained here, on all records whose source declares the language. As some declarations are wrong, profiles
+are made again from all sentences that the first profiles give to the language. A language that no source declares
+starts from the sentences of all records that are full of its seed words. A segment farther from its language than all
+but one in ODD of that language's own sentences comes out as ``und`` with confidence 0. All counts are whole numbers over
+all records, so profiles and limits depend neither on partitions nor on a choice of records.
 
 A text is cut into sentences and lines; each gets its distances, and one pass over them chooses the cheapest path that
 pays for every change of language, so single odd words don't make a language but a whole sentence does. Null and blank
@@ -29,12 +30,14 @@ from pyspark.sql import functions as F
 
 from textloom.plans.staging import spread, stage
 
-#: Ranks of a profile, and sampled records of a language.
-PROFILE, ROWS = 1500, 1500
+#: Ranks of a profile.
+PROFILE = 1500
 #: Least letters and words of a sentence that may bring in a language of its own.
 LETTERS, WORDS = 12, 3
-#: Sampled records in which undeclared languages are looked for, and the least sentences that make a profile of one.
-LOOKED, ENOUGH = 20_000, 40
+#: Least sentences that make a profile of an undeclared language; of so many own sentences one may lie beyond a language's limit.
+ENOUGH, ODD = 40, 20_000
+#: Steps of distance that limits are counted in; sentences and words that a task remembers.
+STEPS, MEMO, HELD = 10_000, 50_000, 300_000
 #: Least share of seed words in such a sentence, and how far beyond its language's own sentences an unknown one lies.
 SEED_SHARE, BEYOND = 0.25, 1.12
 #: Least letters of a segment that may come out as of no known language.
@@ -102,11 +105,16 @@ class _Folds(dict):
 
 
 _FOLDS = _Folds()
+_NOT_ASCII = re.compile(r"[^\x00-\x7f]+")
+
+
+def _folded(found: re.Match) -> str:
+    return "".join(map(_FOLDS.__getitem__, found[0]))
 
 
 def flat(text: str) -> str:
     """Lower case without accents, format characters, addresses and host names."""
-    s = text.lower() if text.isascii() else "".join(map(_FOLDS.__getitem__, text))
+    s = text.lower() if text.isascii() else _NOT_ASCII.sub(_folded, text).lower()
     return _NOT_WORDS.sub(" ", s) if _MAYBE.search(s) else s
 
 
@@ -220,22 +228,23 @@ class Profiles:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, gram, n) of (lang, word, n)."""
     for batch in batches:
         by: dict[str, Counter] = {}
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            words = Counter(_TOKEN.findall(flat(text)))
+        for lang, w, n in zip(*(batch.column(k).to_pylist() for k in range(3))):
             c = by.setdefault(lang, Counter())
-            for w, n in words.items():
-                for g in grams(w):
-                    c[g] += n
+            for g in grams(w):
+                c[g] += n
         rows = [(lang, g, n) for lang, c in by.items() for g, n in c.items()]
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.int64())], names=["lang", "gram", "n"])
 
 
-def _ranked(counts: DataFrame) -> dict[str, list[str]]:
+def _ranked(words: DataFrame) -> dict[str, list[str]]:
+    """Each language's grams by (lang, word, n), most frequent first."""
     out: dict[str, list[str]] = {}
     from pyspark.sql import Window
 
+    counts = words.groupBy("lang", "word").agg(F.sum("n").alias("n")).mapInArrow(_count, "lang string, gram string, n bigint")
     at = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     top = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")).withColumn("rank", at).where(F.col("rank") <= PROFILE)
     for r in sorted(top.collect(), key=lambda r: r["rank"]):
@@ -243,77 +252,181 @@ def _ranked(counts: DataFrame) -> dict[str, list[str]]:
     return out
 
 
-def _own_sentences(profiles: Profiles):
-    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            langs, texts, far = [], [], []
-            for text in batch.column(1).to_pylist():
-                parts = [p for p in sentences(flat(text)) if len(p) > 30]
-                d, _ = profiles.distances([_TOKEN.findall(p) for p in parts])
-                for p, row in zip(parts, d):
-                    two = np.sort(row)[:2]
-                    if len(two) == 1 or two[1] - two[0] > 0.05:
-                        langs.append(profiles.langs[int(row.argmin())])
-                        texts.append(p)
-                        far.append(float(two[0]))
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(texts, pa.string()), pa.array(far, pa.float64())], names=["lang", "text", "far"])
+class _Measured:
+    """Distances, letters and wholeness of sentences through a memo, as sentences come again and again."""
 
-    return go
+    def __init__(self, profiles: Profiles) -> None:
+        self.profiles = profiles
+        self.at: dict[str, int] = {}
+        self.d, self.letters, self.whole = np.empty((0, len(profiles.langs))), np.empty(0), np.empty(0, bool)
+
+    def __call__(self, parts: list[str]) -> np.ndarray:
+        """The sentences' places in ``d``, ``letters`` and ``whole``, good until the next call."""
+        if len(self.at) > MEMO:
+            self.__init__(self.profiles)
+        at = self.at
+        new = [p for p in dict.fromkeys(parts) if p not in at]
+        if new:
+            cut = [_TOKEN.findall(p) for p in new]
+            letters = [sum(map(len, ws)) for ws in cut]
+            for p in new:
+                at[p] = len(at)
+            self.d = np.concatenate([self.d, self.profiles.distances(cut)[0]])
+            self.letters = np.concatenate([self.letters, np.array(letters, float)])
+            self.whole = np.concatenate([self.whole, np.array([_is_whole(p, n, len(ws)) for p, n, ws in zip(new, letters, cut)], bool)])
+        return np.fromiter(map(at.__getitem__, parts), np.int64, len(parts))
+
+
+def _is_whole(part: str, letters: int, words: int) -> bool:
+    return bool(letters >= LETTERS and words >= WORDS and (letters >= 30 or _END.search(part)) and not _FURNITURE.search(part))
+
+
+READ = "row_id bigint, declared string, parts array<string>, own string, lang string, word string, n bigint"
 
 
-def _seeded(known: frozenset):
-    """Sentences of languages outside ``known`` in which that language's seed words have a large share, more than any other's."""
+def _reader(known: frozenset):
+    """Each text's sentences, and in rows of their own the word counts that first profiles come from.
+
+    ``own`` is 'd' for the words of texts by their declared language, and 's' for those of the sentences of a language outside
+    ``known`` in which its seed words have a large share, more than any other's; the null word counts these sentences.
+    """
     of: dict[str, list[str]] = {}
     for lang, ws in SEED_WORDS.items():
         for w in ws.split():
             of.setdefault(w, []).append(lang)
+    may = {w for w, langs in of.items() if not known.issuperset(langs)}.__contains__
+
+    def seeded(ws: list[str]) -> str | None:
+        if len(ws) < 5 or sum(map(may, ws)) < SEED_SHARE * len(ws):
+            return None
+        n = Counter(lang for w in ws if w in of for lang in of[w]).most_common(2)
+        full = n and n[0][0] not in known and n[0][1] >= SEED_SHARE * len(ws) and (len(n) == 1 or n[0][1] > 1.5 * n[1][1])
+        return n[0][0] if full else None
+
+    def batch_of(texts: list[tuple], counts: dict) -> pa.RecordBatch:
+        words = [(own, lang, w, n) for (own, lang), c in counts.items() for w, n in c.items()]
+        none, blank = [None] * len(texts), [None] * len(words)
+        cols = [[t[0] for t in texts] + blank, [t[1] for t in texts] + blank, [t[2] for t in texts] + blank, *(none + [r[k] for r in words] for k in range(4))]
+        types = [pa.int64(), pa.string(), pa.list_(pa.string()), pa.string(), pa.string(), pa.string(), pa.int64()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=[x.split()[0] for x in READ.split(", ")])
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            langs, texts = [], []
-            for text in batch.column(0).to_pylist():
-                for p in sentences(flat(text)):
-                    ws = _TOKEN.findall(p)
-                    if len(ws) < 5:
+        counts: dict[tuple, Counter] = {}
+        memo: dict[str, tuple] = {}
+        for whole in batches:
+            for start in range(0, whole.num_rows, 500):
+                texts = []
+                for row, text, lang in zip(*(whole.slice(start, 500).column(k).to_pylist() for k in range(3))):
+                    parts = sentences(flat(text)) if text else []
+                    if not parts:
                         continue
-                    n = Counter(lang for w in ws if w in of for lang in of[w]).most_common(2)
-                    if n and n[0][0] not in known and n[0][1] >= SEED_SHARE * len(ws) and (len(n) == 1 or n[0][1] > 1.5 * n[1][1]):
-                        lang = n[0][0]
-                        langs.append(lang)
-                        texts.append(p)
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(texts, pa.string())], names=["lang", "text"])
+                    texts.append((row, lang, parts))
+                    declared = counts.setdefault(("d", lang), Counter()) if lang is not None else None
+                    for p in parts:
+                        got = memo.get(p)
+                        if got is None:
+                            if len(memo) > MEMO:
+                                memo.clear()
+                            ws = _TOKEN.findall(p)
+                            got = memo[p] = (ws, seeded(ws))
+                        if declared is not None:
+                            declared.update(got[0])
+                        if got[1]:
+                            c = counts.setdefault(("s", got[1]), Counter())
+                            c.update(got[0])
+                            c[None] += 1
+                full = sum(map(len, counts.values())) > HELD
+                yield batch_of(texts, counts if full else {})
+                if full:
+                    counts = {}
+        yield batch_of([], counts)
+
+    return go
+
+
+OWN = "lang string, word string, step int, n bigint"
+
+
+def _own_words(profiles: Profiles):
+    """Word counts of the sentences that clearly belong to a language, and counts of their distances in STEPS (word null)."""
+
+    def batch_of(words: dict, steps: dict) -> pa.RecordBatch:
+        rows = [(lang, w, None, n) for lang, c in words.items() for w, n in c.items()] + [(lang, None, s, n) for lang, c in steps.items() for s, n in c.items()]
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.int32(), pa.int64()))], names=[x.split()[0] for x in OWN.split(", ")])
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words: dict[str, Counter] = {}
+        steps: dict[str, Counter] = {}
+        for whole in batches:
+            for start in range(0, whole.num_rows, 2000):
+                # equal sentences are measured once and count as often as they occur
+                times = Counter(p for parts in whole.slice(start, 2000).column(0).to_pylist() for p in parts if len(p) > 30)
+                cut = [_TOKEN.findall(p) for p in times]
+                d, _ = profiles.distances(cut)
+                two = np.sort(d, axis=1)[:, :2]
+                clear = two[:, 1] - two[:, 0] > 0.05 if d.shape[1] > 1 else np.ones(len(cut), bool)
+                nearest, far = d.argmin(1), np.ceil(two[:, 0] * STEPS).astype(int).tolist()
+                for k, (ws, n) in enumerate(zip(cut, times.values())):
+                    if clear[k]:
+                        lang = profiles.langs[int(nearest[k])]
+                        c = words.setdefault(lang, Counter())
+                        for w in ws:
+                            c[w] += n
+                        steps.setdefault(lang, Counter())[far[k]] += n
+                if sum(map(len, words.values())) > HELD:
+                    yield batch_of(words, steps)
+                    words, steps = {}, {}
+        yield batch_of(words, steps)
 
     return go
 
 
+def _limits(steps: DataFrame) -> dict[str, float]:
+    """BEYOND times the distance that one in ODD of a language's own sentences exceeds, the farthest where they are fewer."""
+    by: dict[str, list] = {}
+    for r in steps.groupBy("lang", "step").agg(F.sum("n").alias("n")).collect():  # at most STEPS rows a language
+        by.setdefault(r["lang"], []).append((r["step"], r["n"]))
+    out = {}
+    for lang, got in by.items():
+        above = sum(n for _, n in got) // ODD
+        for step, n in sorted(got, reverse=True):
+            above -= n
+            if above < 0:
+                out[lang] = BEYOND * step / STEPS
+                break
+    return out
+
+
+def read(rows: DataFrame) -> DataFrame:
+    """The staged sentences and word counts of (row_id, text, declared)."""
+    known = {r[0] for r in rows.where(F.length(F.trim("text")) > 0).select("declared").distinct().collect()}  # languages of NAMES
+    return stage(spread(rows.select("row_id", "text", "declared")).mapInArrow(_reader(frozenset(known - {None})), READ), "read")
+
+
 def train(rows: DataFrame) -> Profiles:
-    """Profiles from (row_id, text, declared), by at most ROWS records of each declared language.
+    """Profiles from (row_id, text, declared), by all records of each declared language.
 
-    Languages of SEED_WORDS that no source declares get a profile where a sample of LOOKED records holds ENOUGH sentences
+    Languages of SEED_WORDS that no source declares get a profile where all records together hold ENOUGH sentences
     in which their seed words prevail. Limits of distance come from the languages' own sentences.
     """
-    rows = rows.where(F.length(F.trim("text")) > 0).select("row_id", F.col("declared").alias("lang"), "text")
-    h = F.pmod(F.xxhash64("row_id"), F.lit(1 << 30))
-    per = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    total = sum(per.values())
-    per.pop(None, None)
-    share = F.lit(0)
-    for lang, count in per.items():  # at most as many languages as NAMES has
-        share = F.when(F.col("lang") == lang, int(min(1.0, ROWS / count) * (1 << 30))).otherwise(share)
-    sample = stage(spread(rows.where(F.col("lang").isNotNull() & (h < share)).select("lang", "text")), "sample")
-    first = _ranked(sample.mapInArrow(_count, "lang string, gram string, n bigint"))
-    looked = spread(rows.where(h < int(min(1.0, LOOKED / max(total, 1)) * (1 << 30))).select("text"))
-    seeded = looked.mapInArrow(_seeded(frozenset(per)), "lang string, text string")
-    enough = [r["lang"] for r in seeded.groupBy("lang").count().collect() if r["count"] >= ENOUGH]  # languages of SEED_WORDS
+    return fitted(read(rows))
+
+
+def fitted(got: DataFrame) -> Profiles:
+    """Profiles from the tables that ``read`` staged."""
+    first = _ranked(got.where("own = 'd' and word is not null").select("lang", "word", "n"))
+    seeds = got.where("own = 's'").groupBy("lang").agg(F.sum(F.when(F.col("word").isNull(), F.col("n"))).alias("n")).collect()
+    enough = [r["lang"] for r in seeds if r["n"] >= ENOUGH]  # languages of SEED_WORDS
+    texts = got.where("parts is not null")
     if enough:
-        first |= _ranked(seeded.where(F.col("lang").isin(enough)).mapInArrow(_count, "lang string, gram string, n bigint"))
-        sample = sample.unionByName(looked.select(F.lit(None).cast("string").alias("lang"), "text"))
+        first |= _ranked(got.where(F.col("lang").isin(enough) & (F.col("own") == "s") & F.col("word").isNotNull()).select("lang", "word", "n"))
+    else:
+        texts = texts.where("declared is not null")
     if not first:
         return Profiles({"en": []})
-    own = stage(sample.mapInArrow(_own_sentences(Profiles(first)), "lang string, text string, far double"), "own_sentences")
-    again = _ranked(own.mapInArrow(_count, "lang string, gram string, n bigint"))
-    limits = {r["lang"]: BEYOND * r["far"] for r in own.groupBy("lang").agg(F.max("far").alias("far")).collect()}
-    return Profiles({lang: again.get(lang, r) for lang, r in first.items()}, limits)
+    own = stage(texts.select("parts").mapInArrow(_own_words(Profiles(first)), OWN), "own")
+    again = _ranked(own.where("word is not null").select("lang", "word", "n"))
+    return Profiles({lang: again.get(lang, r) for lang, r in first.items()}, _limits(own.where("step is not null")))
 
 
 def path(d: np.ndarray, letters: np.ndarray) -> np.ndarray:
@@ -346,12 +459,12 @@ def _confidence(row: np.ndarray) -> float:
 SEGMENTS = "row_id bigint, segment int, start_sentence int, sentences int, letters bigint, lang string, confidence double, whole boolean"
 
 
-def segments(text: str, profiles: Profiles, parts: list[str] | None = None, d: np.ndarray | None = None) -> list[tuple]:
+def segments(text: str, profiles: Profiles, parts: list[str] | None = None, d: np.ndarray | None = None, letters: np.ndarray | None = None, wholes: np.ndarray | None = None) -> list[tuple]:
     """(start sentence, sentences, letters, lang, confidence, whether it has a whole sentence) of each run of one language."""
-    if parts is None:
-        parts = sentences(flat(text))
-        d, _ = profiles.distances([_TOKEN.findall(p) for p in parts])
-    letters = np.array([sum(map(len, _TOKEN.findall(p))) for p in parts], float)
+    if d is None:
+        measured = _Measured(profiles)
+        at = measured(sentences(flat(text)) if parts is None else parts)
+        d, letters, wholes = measured.d[at], measured.letters[at], measured.whole[at]
     if not letters.sum():
         return []
     at = path(d, letters)
@@ -362,33 +475,39 @@ def segments(text: str, profiles: Profiles, parts: list[str] | None = None, d: n
         while j + 1 < len(at) and at[j + 1] == at[i]:
             j += 1
         n = letters[i : j + 1]
-        whole = any(letters[k] >= LETTERS and len(_TOKEN.findall(parts[k])) >= WORDS and (_END.search(parts[k]) or letters[k] >= 30) and not _FURNITURE.search(parts[k]) for k in range(i, j + 1))
-        if n.sum():
-            mean = (d[i : j + 1] * n[:, None]).sum(0) / n.sum()
+        total = n.sum()
+        if total:
+            mean = (d[i : j + 1] * n[:, None]).sum(0) / total
             lang, sure = profiles.langs[at[i]], _confidence(mean)
-            if n.sum() >= UNKNOWN_LETTERS and mean[at[i]] > profiles.limits.get(lang, 2.0):
+            if total >= UNKNOWN_LETTERS and mean[at[i]] > profiles.limits.get(lang, 2.0):
                 lang, sure = "und", 0.0
-            out.append((i, j - i + 1, int(n.sum()), lang, sure, whole))
+            out.append((i, j - i + 1, int(total), lang, sure, bool(wholes[i : j + 1].any())))
         i = j + 1
     return out
 
 
+def _segmented(profiles: Profiles, batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """(row_id, declared, segments) of batches of (row_id, declared, parts)."""
+    measured = _Measured(profiles)
+    for whole in batches:
+        for start in range(0, max(whole.num_rows, 1), 500):
+            ids, declared, texts = (whole.slice(start, 500).column(k).to_pylist() for k in range(3))
+            at = measured([p for parts in texts for p in parts])
+            d, letters, wholes = measured.d[at], measured.letters[at], measured.whole[at]
+            out, k = [], 0
+            for row, want, parts in zip(ids, declared, texts):
+                to = k + len(parts)
+                out.append((row, want, segments("", profiles, parts, d[k:to], letters[k:to], wholes[k:to])))
+                k = to
+            yield out
+
+
 def _segmenter(profiles: Profiles):
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, max(whole.num_rows, 1), 500):
-                batch = whole.slice(at, 500)
-                ids = batch.column(0).to_pylist()
-                texts = [sentences(flat(t)) if t else [] for t in batch.column(1).to_pylist()]
-                d, _ = profiles.distances([_TOKEN.findall(p) for parts in texts for p in parts])
-                rows, k = [], 0
-                for row, parts in zip(ids, texts):
-                    if parts:
-                        for i, seg in enumerate(segments("", profiles, parts, d[k : k + len(parts)])):
-                            rows.append((row, i, *seg))
-                    k += len(parts)
-                types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.float64(), pa.bool_()]
-                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(types)], names=[x.split()[0] for x in SEGMENTS.split(", ")])
+        types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.float64(), pa.bool_()]
+        for texts in _segmented(profiles, batches):
+            rows = [(row, i, *seg) for row, _, segs in texts for i, seg in enumerate(segs)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(types)], names=[x.split()[0] for x in SEGMENTS.split(", ")])
 
     return go
 
@@ -403,36 +522,31 @@ def with_declared(df: DataFrame, sources: DataFrame, profiles: DataFrame) -> Dat
 def labelled_segments(df: DataFrame, sources: DataFrame, topic_profiles: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(segments, declared) of all records."""
     rows = with_declared(df, sources, topic_profiles)
-    fitted = train(rows)
-    seg = spread(rows.select("row_id", "text")).mapInArrow(_segmenter(fitted), SEGMENTS)
+    got = read(rows)
+    seg = _texts(got).mapInArrow(_segmenter(fitted(got)), SEGMENTS)
     return seg, rows
 
 
+def _texts(got: DataFrame) -> DataFrame:
+    return spread(got.where("parts is not null").select("row_id", "declared", "parts"))
+
+
 def found(df: DataFrame, sources: DataFrame, topic_profiles: DataFrame) -> DataFrame:
     """(row_id, lang) of each language of the records whose languages aren't just the declared one."""
-    rows = with_declared(df, sources, topic_profiles)
-    fitted = train(rows)
-    langs = spread(rows).mapInArrow(_differs(fitted), "row_id bigint, lang string")
-    return langs
+    got = read(with_declared(df, sources, topic_profiles))
+    return _texts(got).mapInArrow(_differs(fitted(got)), "row_id bigint, lang string")
 
 
 def _differs(profiles: Profiles):
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, max(whole.num_rows, 1), 500):
-                batch = whole.slice(at, 500)
-                texts = [sentences(flat(t)) if t else [] for t in batch.column(1).to_pylist()]
-                d, _ = profiles.distances([_TOKEN.findall(p) for parts in texts for p in parts])
-                rows, k = [], 0
-                for row, want, parts in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), texts):
-                    if parts:
-                        segs = segments("", profiles, parts, d[k : k + len(parts)])
-                        most = max(segs, key=lambda s: s[2], default=None)
-                        got = {s[3] for s in segs if s[5] or s is most}
-                        if got and got != {want}:
-                            rows += [(row, lang) for lang in sorted(got)]
-                    k += len(parts)
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string())], names=["row_id", "lang"])
+        for texts in _segmented(profiles, batches):
+            rows = []
+            for row, want, segs in texts:
+                most = max(segs, key=lambda s: s[2], default=None)
+                got = {s[3] for s in segs if s[5] or s is most}
+                if got and got != {want}:
+                    rows += [(row, lang) for lang in sorted(got)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string())], names=["row_id", "lang"])
 
     return go
 
