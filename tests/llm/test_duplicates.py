@@ -213,3 +213,25 @@ def test_pairs_are_the_same_in_larger_shuffles(spark, corpus, monkeypatch):
     monkeypatch.setattr(staging, "PARTITION", 20_000)
     assert sorted(map(tuple, bm.found(frame(spark, corpus)).collect())) == near
     assert sorted(map(tuple, overlap.found(frame(spark, corpus)).collect())) == over
+
+
+def test_no_pair_at_the_threshold_is_left_out(spark):
+    rng = random.Random(11)
+    rows, want = [], set()
+    for k in range(1200):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+        # pieces of six words in another order, cut within all passages but one, or one piece of other words
+        cut = [base[:9], *(base[i : i + 6] for i in range(9, 120, 6))]
+        new = sum(cut[::-1], []) if k % 2 else [f"new{k}x{i}" if i < 39 else w for i, w in enumerate(base)]
+        assert 0.5 <= bm.jaccard(bm.word_runs(base, 3), bm.word_runs(new, 3)) < 0.52
+        want.add((2 * k, 2 * k + 1))
+        rows += [(2 * k, " ".join(base), "train", "a"), (2 * k + 1, " ".join(new), "test", "a")]
+    assert {tuple(r) for r in overlap.found(frame(spark, rows)).collect()} == want
+
+
+def test_other_word_breaks_of_the_same_letters_have_pairs_of_their_own(spark):
+    base = [f"w{i}x" for i in range(160)]
+    joined = [a + b for a, b in zip(base[::2], base[1::2])]
+    near = joined[:70] + [f"new{i}" for i in range(12)]
+    rows = [(1, " ".join(base), "train", "a"), (2, " ".join(joined), "train", "a"), (3, " ".join(near), "test", "a")]
+    assert {tuple(r) for r in overlap.found(frame(spark, rows)).collect()} == {(2, 3)}
