@@ -1,3 +1,7 @@
+import random
+import time
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 from textloom.llm import boilerplate as bp
@@ -157,3 +161,40 @@ def test_profiles_come_from_all_records(spark):
         assert "qqx" in got.ranked["en"]
     spanish = [(4000 + 500 * i, " ".join(ES), None) for i in range(20)] + [(10**6 + i, EN[i % 3], "en") for i in range(40_000)]
     assert "es" in langid.train(spark.createDataFrame(spanish, "row_id bigint, text string, declared string")).langs
+
+
+def test_distances_take_few_times_the_cost_of_cutting_words():
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 10))) for _ in range(3000)]
+    texts = [" ".join(rng.choices(vocabulary, k=14)) for _ in range(6000)]
+    cut = [langid._TOKEN.findall(t) for t in texts]
+    counts = Counter(g for ws in cut for w in ws for g in langid.grams(w))
+    ranked = [g for g, _ in counts.most_common(langid.PROFILE)]
+    profiles = langid.Profiles({lang: ranked[k:] + ranked[:k] for k, lang in enumerate(("de", "en", "es", "fr", "ru"))})
+
+    def least(f):
+        took = []
+        for _ in range(5):
+            began = time.thread_time()
+            f()
+            took.append(time.thread_time() - began)
+        return min(took)
+
+    ratio = least(lambda: profiles.distances(cut)) / least(lambda: [langid._TOKEN.findall(t) for t in texts])
+    assert ratio < 3.6, ratio
+
+
+def test_grams_of_any_count_are_ranked_by_it():
+    profiles = langid.Profiles({"xx": ["bb", "bbb", "aa", "aaa"]})
+    d, total = profiles.distances([["a" * 5000, "b" * 6000]])
+    # bb, bbb, aa and aaa are where the profile has them, and six grams of the words' ends aren't in it
+    assert total[0] == 4999 + 4998 + 5999 + 5998 + 8 and round(d[0, 0] * total[0]) == 8
+
+
+def test_words_that_were_forgotten_are_counted(spark, monkeypatch):
+    rows = [(i, " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + k)}word" for k in range(9)) + ".", "en") for i in range(400)]
+    df = spark.createDataFrame(rows, "row_id bigint, text string, declared string").coalesce(1)
+    want = langid.train(df)
+    monkeypatch.setattr(langid, "WORDS_HELD", 20)
+    got = langid.train(df)
+    assert got.ranked == want.ranked and got.limits == want.limits

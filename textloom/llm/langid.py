@@ -38,6 +38,8 @@ LETTERS, WORDS = 12, 3
 ENOUGH, ODD = 40, 20_000
 #: Steps of distance that limits are counted in; sentences and words that a task remembers.
 STEPS, MEMO, HELD = 10_000, 50_000, 300_000
+#: Words whose grams a task remembers, and segments that are measured at once.
+WORDS_HELD, AT_ONCE = 100_000, 256
 #: Least share of seed words in such a sentence, and how far beyond its language's own sentences an unknown one lies.
 SEED_SHARE, BEYOND = 0.25, 1.12
 #: Least letters of a segment that may come out as of no known language.
@@ -45,11 +47,13 @@ UNKNOWN_LETTERS = 60
 #: Cost of a change of language, in letters x share of PROFILE; sentences without ends are cut into pieces of so many words.
 CHANGE, PIECE = 2.2, 14
 _TOKEN = re.compile(r"[^\W\d_]+")
-_CUT = re.compile(r"(?<=[.!?…])[\"'»”)]*\s+|\n\s*\n|(?<=\|)\s+")
-_NOT_WORDS = re.compile(r"[^\s@]*@[^\s@]+|https?://\S+|[^\W_][\w\-]*(?:\.[\w\-]{2,})+")
-_MAYBE = re.compile(r"[a-z0-9\-]\.[a-z]{2}|@|://")
-_FURNITURE = re.compile(r"[©|·»›]|^[^.!?]{0,30}:(?!.{40})")
+# each begins with a set of characters or tries a run of characters only where it begins, so that a search skips all else
+_CUT = re.compile(r"[.!?…\n|](?:(?<=[.!?…])[\"'»”)]*\s+|(?<=\n)\s*\n|(?<=\|)(?:\n\s*\n|\s+))")
+_NOT_WORDS = re.compile(r"(?:(?<![^\s@])[^\s@]++)?@[^\s@]+|https?://\S+|(?<![^\W_])[^\W_][\w\-]*+(?:\.[\w\-]{2,})+")
+_DOTTED = re.compile(r"\.(?<=[a-z0-9\-]\.)[a-z]{2}")
+_MARK, _LABEL = re.compile(r"[©|·»›]"), re.compile(r"[^.!?]{0,30}:(?!.{40})")
 _END = re.compile(r"[.!?…][\"'»”)]*\s*$")
+_BLANKED = bytes(c if chr(c).isalpha() else 32 for c in range(128)) + bytes(128)
 
 # Names of languages in English and in the language itself, and their codes.
 NAMES = {
@@ -108,14 +112,40 @@ _FOLDS = _Folds()
 _NOT_ASCII = re.compile(r"[^\x00-\x7f]+")
 
 
+class _Runs(dict):
+    def __missing__(self, run: str) -> str:
+        if len(self) > MEMO:
+            self.clear()
+        self[run] = got = "".join(map(_FOLDS.__getitem__, run))
+        return got
+
+
+_RUNS = _Runs()
+
+
 def _folded(found: re.Match) -> str:
-    return "".join(map(_FOLDS.__getitem__, found[0]))
+    return _RUNS[found[0]]
 
 
 def flat(text: str) -> str:
     """Lower case without accents, format characters, addresses and host names."""
     s = text.lower() if text.isascii() else _NOT_ASCII.sub(_folded, text).lower()
-    return _NOT_WORDS.sub(" ", s) if _MAYBE.search(s) else s
+    return _NOT_WORDS.sub(" ", s) if "@" in s or "://" in s or _DOTTED.search(s) else s
+
+
+def tokens(part: str) -> list[str]:
+    """The runs of letters of a sentence."""
+    return part.encode().translate(_BLANKED).decode().split() if part.isascii() else _TOKEN.findall(part)
+
+
+def _blocks(text: str) -> Iterator[str]:
+    """A text cut after the marks that _CUT finds, without what follows them."""
+    at = 0
+    for found in _CUT.finditer(text):
+        cut = found.start()
+        yield text[at : cut if text[cut] == "\n" else cut + 1]
+        at = found.end()
+    yield text[at:]
 
 
 def grams(word: str) -> list[str]:
@@ -129,7 +159,7 @@ def sentences(text: str) -> list[str]:
     """Sentences of a flat text, without blank ones. A line without a sentence end stays one if it is short, joins the
     next if that goes on in lower case, and is cut into pieces of PIECE words if it is long."""
     out = []
-    for block in _CUT.split(text):
+    for block in _blocks(text):
         if not block or not block.strip():
             continue
         lines = block.split("\n") if "\n" in block else [block]
@@ -171,12 +201,11 @@ class Profiles:
         self.langs = sorted(self.ranked)
         every = sorted({g for r in self.ranked.values() for g in r})
         self.ids = {g: i for i, g in enumerate(every)}
-        # the last column stands for grams that no profile has
-        self.rank = np.full((len(self.langs), len(every) + 1), 1e9)
+        # doubled, as grams of equal counts have halves of ranks; the last column stands for grams that no profile has
+        self.rank = np.full((len(self.langs), len(every) + 1), 1 << 29, np.int32)
         for k, lang in enumerate(self.langs):
-            for r, g in enumerate(self.ranked[lang]):
-                self.rank[k, self.ids[g]] = r
-        self.words: dict[str, np.ndarray] = {}
+            self.rank[k, [self.ids[g] for g in self.ranked[lang]]] = np.arange(0, 2 * len(self.ranked[lang]), 2)
+        self.forget()
 
     def __getstate__(self):
         return {"ranked": self.ranked, "limits": self.limits}
@@ -185,46 +214,67 @@ class Profiles:
         self.ranked, self.limits = state["ranked"], state["limits"]
         self._ready()
 
-    def word(self, w: str) -> np.ndarray:
-        got = self.words.get(w)
-        if got is None:
-            if len(self.words) > 100_000:
-                self.words.clear()
-            none = len(self.ids)
-            got = self.words[w] = np.array([self.ids.get(g, none) for g in grams(w)], np.int64)
-        return got
+    def forget(self) -> None:
+        #: Places of words; the grams of the word at k are gram[start[k] : start[k + 1]].
+        self.words: dict[str, int] = {}
+        self.gram, self.start = np.empty(0, np.int32), np.zeros(1, np.int64)
+
+    def placed(self, segments: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """The places of all words of segments, good until words are forgotten, and where each segment's begin and the last's end."""
+        if len(self.words) > WORDS_HELD:
+            self.forget()
+        every = [w for seg in segments for w in seg]
+        known, none = self.words, len(self.ids)
+        new = [w for w in dict.fromkeys(every) if w not in known]
+        if new:
+            its = [[self.ids.get(g, none) for g in grams(w)] for w in new]
+            known.update(zip(new, range(len(known), len(known) + len(new))))
+            self.gram = np.concatenate([self.gram, np.array([g for gs in its for g in gs], np.int32)])
+            self.start = np.concatenate([self.start, self.start[-1] + np.cumsum([len(gs) for gs in its])])
+        return np.fromiter(map(known.__getitem__, every), np.int64, len(every)), np.concatenate([[0], np.cumsum([len(seg) for seg in segments], dtype=np.int64)])
 
-    def distances(self, segments: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+    def distances(self, segments: list[list[str]], placed: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Mean out-of-place distances, in shares of PROFILE, of segments (lists of words) to each language; and the segments' grams."""
         n = len(segments)
-        flat_words = [self.word(w) for seg in segments for w in seg]
-        if not flat_words:
-            return np.ones((n, len(self.langs))), np.zeros(n)
-        lens = np.fromiter(map(len, flat_words), np.int64, len(flat_words))
-        owner = np.repeat(np.repeat(np.arange(n), [len(s) for s in segments]), lens)
-        width = len(self.ids) + 1
-        key = np.sort(owner * width + np.concatenate(flat_words))
+        places, ends = placed or self.placed(segments)
+        out, total = np.ones((n, len(self.langs))), np.zeros(n)
+        # few enough segments at a time that their grams stay in a core's cache
+        for i in range(0, n, AT_ONCE):
+            j = min(n, i + AT_ONCE)
+            own = places[ends[i] : ends[j]]
+            if len(own):
+                self._measure(own, np.diff(ends[i : j + 1]), out[i:j], total[i:j])
+        return out, total
+
+    def _measure(self, places: np.ndarray, words: np.ndarray, out: np.ndarray, total: np.ndarray) -> None:
+        """Fills ``out`` and ``total`` for segments of so many words each."""
+        start = self.start[places]
+        lens = self.start[places + 1] - start
+        upto = np.cumsum(lens)
+        of = self.gram[np.arange(upto[-1]) + np.repeat(start - upto + lens, lens)]
+        bits = len(self.ids).bit_length()
+        key = np.repeat(np.repeat(np.arange(len(words), dtype=np.int64 if bits > 30 - AT_ONCE.bit_length() else np.int32) << bits, words), lens) | of
+        key.sort()
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         count = np.diff(np.append(first, len(key)))
-        seg, gram = np.divmod(key[first], width)
-        # most frequent first within a segment; grams of equal counts share the middle rank
-        packed = np.sort((seg << 44) | ((4095 - np.minimum(count, 4095)) << 32) | np.arange(len(seg)))
-        order = packed & 0xFFFFFFFF
-        s, c = packed >> 44, count[order]
-        begin = np.concatenate([[True], s[1:] != s[:-1]])
-        at = np.arange(len(s)) - np.maximum.accumulate(np.where(begin, np.arange(len(s)), 0))
-        tie = np.flatnonzero(begin | np.concatenate([[True], c[1:] != c[:-1]]))
-        size = np.diff(np.append(tie, len(s)))
-        mid = np.repeat(at[tie] + (size - 1) / 2.0, size)
-        total = np.bincount(s, weights=c, minlength=n)
-        out = np.ones((n, len(self.langs)))
-        g = gram[order]
+        seg, gram = key[first] >> bits, key[first] & ((1 << bits) - 1)
+        # a gram's rank is the number of its segment's grams of larger counts; grams of equal counts share the middle rank
+        values = None if count.max() < 64 else np.unique(count)
+        level = count if values is None else np.searchsorted(values, count)
+        width = int(level.max()) + 1
+        cell = seg.astype(np.int64) * width + level
+        alike = np.bincount(cell, minlength=len(words) * width).reshape(-1, width)
+        larger = alike[:, ::-1].cumsum(1)[:, ::-1] - alike
+        mid = (2 * larger + alike - 1).astype(np.int32).ravel()[cell]
+        begin = np.flatnonzero(np.concatenate([[True], seg[1:] != seg[:-1]]))
+        its = seg[begin]
+        total[its] = grams = np.add.reduceat(count, begin)
         for k in range(len(self.langs)):
-            d = np.minimum(np.abs(self.rank[k][g] - mid), PROFILE)
-            d *= c
-            out[:, k] = np.bincount(s, weights=d, minlength=n) / np.maximum(total, 1) / PROFILE
-        out[total == 0] = 1.0
-        return out, total
+            d = self.rank[k].take(gram)
+            d -= mid
+            np.abs(d, out=d)
+            np.minimum(d, 2 * PROFILE, out=d)
+            out[its, k] = np.add.reduceat(d * count, begin) / 2 / grams / PROFILE
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,7 +317,7 @@ class _Measured:
         at = self.at
         new = [p for p in dict.fromkeys(parts) if p not in at]
         if new:
-            cut = [_TOKEN.findall(p) for p in new]
+            cut = [tokens(p) for p in new]
             letters = [sum(map(len, ws)) for ws in cut]
             for p in new:
                 at[p] = len(at)
@@ -278,7 +328,7 @@ class _Measured:
 
 
 def _is_whole(part: str, letters: int, words: int) -> bool:
-    return bool(letters >= LETTERS and words >= WORDS and (letters >= 30 or _END.search(part)) and not _FURNITURE.search(part))
+    return bool(letters >= LETTERS and words >= WORDS and (letters >= 30 or _END.search(part)) and not _MARK.search(part) and not _LABEL.match(part))
 
 
 READ = "row_id bigint, declared string, parts array<string>, own string, lang string, word string, n bigint"
@@ -315,26 +365,28 @@ def _reader(known: frozenset):
         memo: dict[str, tuple] = {}
         for whole in batches:
             for start in range(0, whole.num_rows, 500):
-                texts = []
+                texts, said = [], {}
                 for row, text, lang in zip(*(whole.slice(start, 500).column(k).to_pylist() for k in range(3))):
                     parts = sentences(flat(text)) if text else []
                     if not parts:
                         continue
                     texts.append((row, lang, parts))
-                    declared = counts.setdefault(("d", lang), Counter()) if lang is not None else None
+                    declared = said.setdefault(lang, []) if lang is not None else None
                     for p in parts:
                         got = memo.get(p)
                         if got is None:
                             if len(memo) > MEMO:
                                 memo.clear()
-                            ws = _TOKEN.findall(p)
+                            ws = tokens(p)
                             got = memo[p] = (ws, seeded(ws))
                         if declared is not None:
-                            declared.update(got[0])
+                            declared += got[0]
                         if got[1]:
                             c = counts.setdefault(("s", got[1]), Counter())
                             c.update(got[0])
                             c[None] += 1
+                for lang, ws in said.items():
+                    counts.setdefault(("d", lang), Counter()).update(ws)
                 full = sum(map(len, counts.values())) > HELD
                 yield batch_of(texts, counts if full else {})
                 if full:
@@ -350,32 +402,43 @@ OWN = "lang string, word string, step int, n bigint"
 def _own_words(profiles: Profiles):
     """Word counts of the sentences that clearly belong to a language, and counts of their distances in STEPS (word null)."""
 
-    def batch_of(words: dict, steps: dict) -> pa.RecordBatch:
-        rows = [(lang, w, None, n) for lang, c in words.items() for w, n in c.items()] + [(lang, None, s, n) for lang, c in steps.items() for s, n in c.items()]
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.int32(), pa.int64()))], names=[x.split()[0] for x in OWN.split(", ")])
+    langs = profiles.langs
+
+    def batch_of(words: np.ndarray, steps: np.ndarray) -> pa.RecordBatch:
+        names = list(profiles.words)
+        at, far = np.flatnonzero(words), np.flatnonzero(steps)
+        lang = [langs[k] for k in (at % len(langs)).tolist() + (far // (STEPS + 1)).tolist()]
+        said = [names[k] for k in (at // len(langs)).tolist()] + [None] * len(far)
+        cols = lang, said, [None] * len(at) + (far % (STEPS + 1)).tolist(), np.concatenate([words[at], steps[far]])
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.int32(), pa.int64()))], names=[x.split()[0] for x in OWN.split(", ")])
+
+    def none() -> tuple[np.ndarray, np.ndarray]:
+        return np.zeros(0, np.int64), np.zeros(len(langs) * (STEPS + 1), np.int64)
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: dict[str, Counter] = {}
-        steps: dict[str, Counter] = {}
+        # counts by place of the word and language, and by language and step
+        words, steps = none()
         for whole in batches:
             for start in range(0, whole.num_rows, 2000):
+                if len(profiles.words) > WORDS_HELD:
+                    yield batch_of(words, steps)
+                    words, steps = none()
+                    profiles.forget()
                 # equal sentences are measured once and count as often as they occur
                 times = Counter(p for parts in whole.slice(start, 2000).column(0).to_pylist() for p in parts if len(p) > 30)
-                cut = [_TOKEN.findall(p) for p in times]
-                d, _ = profiles.distances(cut)
+                if not times:
+                    continue
+                cut = [tokens(p) for p in times]
+                places, ends = profiles.placed(cut)
+                d, _ = profiles.distances(cut, (places, ends))
                 two = np.sort(d, axis=1)[:, :2]
                 clear = two[:, 1] - two[:, 0] > 0.05 if d.shape[1] > 1 else np.ones(len(cut), bool)
-                nearest, far = d.argmin(1), np.ceil(two[:, 0] * STEPS).astype(int).tolist()
-                for k, (ws, n) in enumerate(zip(cut, times.values())):
-                    if clear[k]:
-                        lang = profiles.langs[int(nearest[k])]
-                        c = words.setdefault(lang, Counter())
-                        for w in ws:
-                            c[w] += n
-                        steps.setdefault(lang, Counter())[far[k]] += n
-                if sum(map(len, words.values())) > HELD:
-                    yield batch_of(words, steps)
-                    words, steps = {}, {}
+                n = np.where(clear, np.fromiter(times.values(), np.int64, len(cut)), 0)
+                nearest, far = d.argmin(1), np.ceil(two[:, 0] * STEPS).astype(np.int64)
+                np.add.at(steps, nearest * (STEPS + 1) + far, n)
+                words = np.concatenate([words, np.zeros(len(profiles.words) * len(langs) - len(words), np.int64)])
+                per = np.diff(ends)
+                np.add.at(words, places * len(langs) + np.repeat(nearest, per), np.repeat(n, per))
         yield batch_of(words, steps)
 
     return go
@@ -431,58 +494,54 @@ def fitted(got: DataFrame) -> Profiles:
 
 def path(d: np.ndarray, letters: np.ndarray) -> np.ndarray:
     """The cheapest language of each sentence when a change of language costs CHANGE."""
-    n, k = d.shape
     best = d.argmin(1)
     if (best == best[0]).all():
         return best
-    cost = d * np.minimum(letters, 60)[:, None]
-    change = CHANGE
-    acc = cost[0].copy()
-    back = np.zeros((n, k), np.int64)
-    for i in range(1, n):
-        m = int(acc.argmin())
-        stay = acc <= acc[m] + change
-        back[i] = np.where(stay, np.arange(k), m)
-        acc = np.where(stay, acc, acc[m] + change) + cost[i]
-    out = np.zeros(n, np.int64)
-    out[-1] = int(acc.argmin())
-    for i in range(n - 1, 0, -1):
-        out[i - 1] = back[i, out[i]]
-    return out
-
-
-def _confidence(row: np.ndarray) -> float:
-    a, b = np.sort(row)[:2] if len(row) > 1 else (row[0], 1.0)
-    return round(float(min(1.0, max(0.0, 1 - a / b) * 3)) if b > 0 else 0.0, 4)
+    cost = (d * np.minimum(letters, 60)[:, None]).tolist()
+    acc, back = cost[0], []
+    for row in cost[1:]:
+        m = acc.index(min(acc))
+        most = acc[m] + CHANGE
+        back.append([k if a <= most else m for k, a in enumerate(acc)])
+        acc = [(a if a <= most else most) + c for a, c in zip(acc, row)]
+    out = [acc.index(min(acc))]
+    for row in reversed(back):
+        out.append(row[out[-1]])
+    return np.array(out[::-1])
 
 
 SEGMENTS = "row_id bigint, segment int, start_sentence int, sentences int, letters bigint, lang string, confidence double, whole boolean"
 
 
-def segments(text: str, profiles: Profiles, parts: list[str] | None = None, d: np.ndarray | None = None, letters: np.ndarray | None = None, wholes: np.ndarray | None = None) -> list[tuple]:
-    """(start sentence, sentences, letters, lang, confidence, whether it has a whole sentence) of each run of one language."""
-    if d is None:
-        measured = _Measured(profiles)
-        at = measured(sentences(flat(text)) if parts is None else parts)
-        d, letters, wholes = measured.d[at], measured.letters[at], measured.whole[at]
-    if not letters.sum():
-        return []
-    at = path(d, letters)
-    out = []
-    i = 0
-    while i < len(at):
-        j = i
-        while j + 1 < len(at) and at[j + 1] == at[i]:
-            j += 1
-        n = letters[i : j + 1]
-        total = n.sum()
-        if total:
-            mean = (d[i : j + 1] * n[:, None]).sum(0) / total
-            lang, sure = profiles.langs[at[i]], _confidence(mean)
-            if total >= UNKNOWN_LETTERS and mean[at[i]] > profiles.limits.get(lang, 2.0):
-                lang, sure = "und", 0.0
-            out.append((i, j - i + 1, int(total), lang, sure, bool(wholes[i : j + 1].any())))
-        i = j + 1
+def segments(profiles: Profiles, sizes: list[int], d: np.ndarray, letters: np.ndarray, wholes: np.ndarray) -> list[list[tuple]]:
+    """(start sentence, sentences, letters, lang, confidence, whether it has a whole sentence) of each run of one language.
+
+    ``sizes`` are the texts' numbers of sentences, whose distances, letters and wholeness come one text after another.
+    """
+    out: list[list[tuple]] = [[] for _ in sizes]
+    ends = np.cumsum(sizes)
+    if not len(d):
+        return out
+    best = d.argmin(1)
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    change = np.flatnonzero((text[1:] == text[:-1]) & (best[1:] != best[:-1]))
+    for k in np.unique(text[change]).tolist():
+        i, j = ends[k] - sizes[k], ends[k]
+        best[i:j] = path(d[i:j], letters[i:j])
+    begin = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (best[1:] != best[:-1])]))
+    total = np.add.reduceat(letters, begin)
+    whole = np.logical_or.reduceat(wholes, begin)
+    mean = np.add.reduceat(d * letters[:, None], begin) / np.maximum(total, 1)[:, None]
+    two = np.sort(mean, axis=1)[:, :2] if mean.shape[1] > 1 else np.column_stack([mean, np.ones(len(mean))])
+    sure = np.where(two[:, 1] > 0, np.clip((1 - two[:, 0] / np.where(two[:, 1] > 0, two[:, 1], 1)) * 3, 0.0, 1.0), 0.0)
+    limit = np.array([profiles.limits.get(lang, 2.0) for lang in profiles.langs])
+    its = best[begin]
+    far = (total >= UNKNOWN_LETTERS) & (mean[np.arange(len(its)), its] > limit[its])
+    sentence = begin - (ends - sizes)[text[begin]]
+    run = zip(text[begin].tolist(), sentence.tolist(), np.diff(np.append(begin, len(d))).tolist(), total.astype(int).tolist(), its.tolist(), sure.tolist(), whole.tolist(), far.tolist())
+    for k, i, n, held, lang, s, w, unknown in run:
+        if held:
+            out[k].append((i, n, held, "und", 0.0, w) if unknown else (i, n, held, profiles.langs[lang], round(s, 4), w))
     return out
 
 
@@ -494,12 +553,7 @@ def _segmented(profiles: Profiles, batches: Iterator[pa.RecordBatch]) -> Iterato
             ids, declared, texts = (whole.slice(start, 500).column(k).to_pylist() for k in range(3))
             at = measured([p for parts in texts for p in parts])
             d, letters, wholes = measured.d[at], measured.letters[at], measured.whole[at]
-            out, k = [], 0
-            for row, want, parts in zip(ids, declared, texts):
-                to = k + len(parts)
-                out.append((row, want, segments("", profiles, parts, d[k:to], letters[k:to], wholes[k:to])))
-                k = to
-            yield out
+            yield list(zip(ids, declared, segments(profiles, [len(parts) for parts in texts], d, letters, wholes)))
 
 
 def _segmenter(profiles: Profiles):
