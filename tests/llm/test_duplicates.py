@@ -235,3 +235,21 @@ def test_other_word_breaks_of_the_same_letters_have_pairs_of_their_own(spark):
     near = joined[:70] + [f"new{i}" for i in range(12)]
     rows = [(1, " ".join(base), "train", "a"), (2, " ".join(joined), "train", "a"), (3, " ".join(near), "test", "a")]
     assert {tuple(r) for r in overlap.found(frame(spark, rows)).collect()} == {(2, 3)}
+
+
+def test_an_index_of_the_rarest_triples_names_all_homes():
+    rng = np.random.default_rng(8)
+    common = np.arange(-60, 60, dtype=np.int32)
+    pool = rng.integers(-(2**31), 2**31, 4000).astype(np.int32)
+    draw = lambda k: np.unique(np.concatenate([rng.choice(common, k), rng.choice(pool, rng.integers(1, 90))]))
+    sets = [draw(int(rng.integers(1, 120))) for _ in range(300)]
+    # copies that share from a third to all of a record's triples
+    texts = [np.unique(np.concatenate([rng.choice(s, max(1, int(len(s) * rng.uniform(0.3, 1))), replace=False), rng.choice(pool, rng.integers(1, 40))])) for s in sets] + [common, sets[0], pool[:1]]
+    homes = np.arange(300) % 7
+    block = overlap._Block(np.concatenate(sets), np.array([len(s) for s in sets]), homes)
+    text, home = block.homes(np.concatenate(texts), np.array([len(t) for t in texts]))
+    jaccard = lambda a, b: (c := len(np.intersect1d(a, b))) / (len(a) + len(b) - c)
+    want = {(i, int(homes[k])) for i, t in enumerate(texts) for k, s in enumerate(sets) if jaccard(t, s) >= bm.SIMILARITY}
+    assert len(want) > 100 and sorted(zip(text.tolist(), home.tolist())) == sorted(want)
+    # the lists of triples that most records have are short
+    assert len(block.owner) < 0.75 * sum(map(len, sets))
